@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import squeeze_spaces, title_case
-from ..sources.schemas import CLEAN_ACCOUNT
+from ..sources.schemas import CLEAN_ACCOUNT, conformed
 from .posts import first_per_key
 
 # Stems that mark a location as local, and names that stand for the country.
@@ -69,8 +69,8 @@ def clean_location(location: Column) -> Column:
 def clean_accounts(raw: DataFrame, places: Sequence[str] | DataFrame) -> DataFrame:
     flat = flatten_account(raw).withColumn("location", squeeze_spaces(F.coalesce("location", F.lit(""))))
     flat = flag_local(flat, places)
-    flat = flat.withColumn("clean_location", F.when("is_local", clean_location(F.col("location"))))
-    return flat.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN_ACCOUNT.fields])
+    flat = flat.withColumn("clean_location", F.when(F.col("is_local"), clean_location(F.col("location"))))
+    return flat.select(*conformed(CLEAN_ACCOUNT))
 
 
 def quality_filter(accounts: DataFrame, preset: str = "production") -> DataFrame:

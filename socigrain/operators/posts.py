@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import arrays as A, dates as D
-from ..sources.schemas import CLEAN_POST
+from ..sources.schemas import CLEAN_POST, conformed
 
 
 def flatten_post(raw: DataFrame) -> DataFrame:
@@ -148,11 +148,11 @@ def all_tags() -> Column:
     return A.concat_arrays(F.col("original_tags"), F.col("repost_tags"), F.col("quote_tags"))
 
 
-def conform(posts: DataFrame, folder_name: str | Column, schema=CLEAN_POST) -> DataFrame:
+def conform(posts: DataFrame, folder_name: str | Column, schema: str = CLEAN_POST) -> DataFrame:
     """Exactly the schema's columns, cast; null text becomes ''."""
     run = F.lit(folder_name) if isinstance(folder_name, str) else folder_name
     full = posts.withColumns({"full_text": F.coalesce("full_text", F.lit("")), "folder_name": run})
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return full.select(*conformed(schema))
 
 
 def flat_posts(raw: DataFrame, min_date=None, max_date=None, dedup: bool = True) -> DataFrame:

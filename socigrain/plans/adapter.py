@@ -313,4 +313,5 @@ traj AS (SELECT user_id AS entity, row_number() OVER (PARTITION BY user_id ORDER
 
 
 def with_ctes(*ctes: str, select: str) -> str:
+    """CTE chain plus final select; a select starting with a comma adds further CTEs."""
     return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + select.strip()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.arrays import revive_list
 from .schemas import FOLLOW_LISTS, RAW_ACCOUNT, RAW_POST
@@ -38,7 +37,7 @@ def follow_coverage(nodes: DataFrame, follow_lists: DataFrame) -> DataFrame:
     )
 
 
-def scan_dated_csv(spark: SparkSession, root: str, schema: StructType, lists: dict[str, str] | None = None) -> DataFrame:
+def scan_dated_csv(spark: SparkSession, root: str, schema: str, lists: dict[str, str] | None = None) -> DataFrame:
     """Union of the CSV files of every date folder; text cells may hold newlines and quotes.
 
     ``lists`` names columns written as list literals with their item type; they come back typed.

@@ -1,8 +1,8 @@
-"""Schemas of landed files and clean tables."""
+"""Schemas of landed files and clean tables, as DDL text (usable before a session exists)."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, functions as F
 
 _ENTITIES = (
     "struct<hashtags:array<struct<text:string>>,"
@@ -13,7 +13,7 @@ _EMBEDDED = (
     f"user:struct<id:bigint,screen_name:string>,entities:{_ENTITIES}>"
 )
 
-RAW_POST = StructType.fromDDL(
+RAW_POST = (
     "id bigint, id_str string, created_at string, full_text string, lang string, "
     "favorite_count bigint, possibly_sensitive boolean, is_quote_status boolean, "
     "user struct<id:bigint,id_str:string,screen_name:string>, "
@@ -21,7 +21,7 @@ RAW_POST = StructType.fromDDL(
     "in_reply_to_status_id bigint, in_reply_to_user_id bigint, in_reply_to_screen_name string"
 )
 
-RAW_ACCOUNT = StructType.fromDDL(
+RAW_ACCOUNT = (
     "id bigint, user_id bigint, id_str string, user_id_str string, name string, screen_name string, "
     "location string, profile_location string, derived string, url string, description string, "
     "protected boolean, verified boolean, followers_count bigint, friends_count bigint, "
@@ -35,7 +35,7 @@ FOLLOW_LISTS = (
     "friends:array<bigint>,followers:array<bigint>>>"
 )
 
-CLEAN_POST = StructType.fromDDL(
+CLEAN_POST = (
     "id bigint, folder_name string, user_id bigint, user_id_str string, screen_name string, "
     "full_text string, lang string, possibly_sensitive boolean, "
     "tags array<string>, mentions array<string>, mention_ids array<bigint>, "
@@ -54,9 +54,15 @@ CLEAN_POST = StructType.fromDDL(
     "reply_to_screen_name string"
 )
 
-CLEAN_ACCOUNT = StructType.fromDDL(
+CLEAN_ACCOUNT = (
     "user_id bigint, user_id_str string, name string, screen_name string, location string, "
     "description string, protected boolean, verified boolean, followers_count bigint, "
     "friends_count bigint, listed_count bigint, favourites_count bigint, statuses_count bigint, "
     "created_at string, is_local boolean, clean_location string"
 )
+
+
+def conformed(ddl: str) -> list[Column]:
+    """Casts to a flat schema's columns, in its order."""
+    fields = [part.split() for part in ddl.split(", ")]
+    return [F.col(name).cast(kind).alias(name) for name, kind in fields]
