@@ -70,9 +70,9 @@ def number_rows(
         *keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
-    ranked = keyed.withColumn("_rn", F.row_number().over(inside))
+    ranked = keyed.withColumn("_inside", F.row_number().over(inside))
     return (
         ranked.join(offsets, [*keys, "_bucket"], "inner")
-        .withColumn(name, F.col("_rn") + F.col("_before") + F.lit(start - 1))
-        .drop("_bucket", "_rn", "_before")
+        .withColumn(name, F.col("_inside") + F.col("_before") + F.lit(start - 1))
+        .drop("_bucket", "_inside", "_before")
     )

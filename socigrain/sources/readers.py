@@ -76,13 +76,17 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
 
 def load_population(spark: SparkSession, folder: str) -> DataFrame:
     """Folder of per-individual CSVs (frame, pos x, pos y) -> (entity, frame, pos_x, pos_y), rounded."""
-    raw = spark.read.options(header=True).csv(folder).withColumn("_file", F.input_file_name())
-    names = {c: c.strip().replace(" ", "_") for c in raw.columns}
-    raw = raw.withColumnsRenamed(names)
-    frame = raw.columns[0]
+    raw = spark.read.options(header=True).csv(folder)
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
+    return population_from(raw.withColumn("entity", name))
+
+
+def population_from(raw: DataFrame) -> DataFrame:
+    """Tracking rows with an ``entity``: first column is the frame, spaces in names become ``_``."""
+    raw = raw.withColumnsRenamed({c: c.strip().replace(" ", "_") for c in raw.columns})
     return raw.select(
-        F.regexp_extract("_file", r"([^/]+)\.csv$", 1).alias("entity"),
-        F.col(frame).cast("bigint").alias("frame"),
+        "entity",
+        F.col(raw.columns[0]).cast("bigint").alias("frame"),
         F.bround(F.col("pos_x").cast("double"), 0).alias("pos_x"),
         F.bround(F.col("pos_y").cast("double"), 0).alias("pos_y"),
     )
@@ -90,7 +94,7 @@ def load_population(spark: SparkSession, folder: str) -> DataFrame:
 
 def check_columns(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
     """(file, ok): does each CSV's header equal the expected columns, in order?  Reads header lines only."""
-    lines = spark.read.text(folder).select(
+    lines = spark.read.text(folder, recursiveFileLookup=True).select(
         F.input_file_name().alias("file"), "value", F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("_i"),
     )
