@@ -13,7 +13,7 @@ URL_PATTERN = (
 MENTION_PATTERN = r"@[A-Za-z0-9_-]+"
 REPOST_PREFIX_PATTERN = r"^RT\s+@[A-Za-z0-9_-]+:?\s*"
 # gensim's documented simple_preprocess defaults.
-TOKEN_PATTERN = r"((?:(?!\d)(?U)\w)+)"
+TOKEN_PATTERN = r"(?U)((?:(?!\d)\w)+)"
 TOKEN_MIN_LEN = 2
 TOKEN_MAX_LEN = 15
 

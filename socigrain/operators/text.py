@@ -46,10 +46,8 @@ def detect_language(texts: DataFrame, profiles: DataFrame, key: str, text: str =
         .groupBy(key, "profile")
         .agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
     )
-    best = F.max_by("profile", F.struct(F.col("score"), F.col("tie")))
     # equal scores: the alphabetically first language
-    tied = scores.withColumn("tie", -F.ascii("profile") * 1000 - F.ascii(F.substring("profile", 2, 1)))
-    return tied.groupBy(key).agg(best.alias("detected"))
+    return scores.groupBy(key).agg(F.min_by("profile", F.struct(-F.col("score"), F.col("profile"))).alias("detected"))
 
 
 def lang_fallback(posts: DataFrame, profiles: DataFrame, key: str = "id", text: str = "full_text") -> DataFrame:
@@ -245,3 +243,51 @@ def describe_topics(model, words: DataFrame, terms: int = 10) -> DataFrame:
     ids = rows.select("topic", "rank", F.col("z.termIndices").cast("bigint").alias("word_id"),
                       F.col("z.termWeights").alias("weight"))
     return ids.join(words.select(F.col("word_id").cast("bigint").alias("word_id"), "word"), "word_id", "left").drop("word_id")
+
+
+def topic_coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, window: int = 110) -> DataFrame:
+    """(topic, coherence): c_v of each topic's words; ``topics`` holds (topic, word).
+
+    A word's sliding windows in a document form few merged intervals, so windows are counted by
+    interval lengths and overlaps and never listed one by one.
+    """
+    eps = 1e-12
+    size = F.size(tokens)
+    last = F.greatest(size - window, F.lit(0))
+    total = docs.filter(size > 0).select(F.sum(last + 1)).scalar()
+    words = topics.select("word").distinct()
+    seen = (
+        docs.select(key, last.alias("last"), F.posexplode(tokens).alias("pos", "word"))
+        .join(F.broadcast(words), "word", "left_semi")
+        .select(key, "word", F.greatest(F.col("pos") - window + 1, F.lit(0)).alias("s"), F.least("pos", "last").alias("e"))
+    )
+    w = W.partitionBy(key, "word").orderBy("s", "e")
+    fresh = F.coalesce((F.col("s") > F.lag("e").over(w) + 1).cast("int"), F.lit(1))
+    merged = (
+        seen.withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(w))
+        .groupBy(key, "word", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    )
+    single = merged.groupBy("word").agg((F.sum(F.col("e") - F.col("s") + 1) / total).alias("p"))
+    of_topic = merged.join(F.broadcast(topics.select("topic", "word")), "word", "inner")
+    a = of_topic.select(key, "topic", F.col("word").alias("wa"), F.col("s").alias("sa"), F.col("e").alias("ea"))
+    b = of_topic.select(key, "topic", F.col("word").alias("wb"), F.col("s").alias("sb"), F.col("e").alias("eb"))
+    overlap = F.least("ea", "eb") - F.greatest("sa", "sb") + 1
+    together = (
+        a.join(b, [key, "topic"], "inner").filter((F.col("sa") <= F.col("eb")) & (F.col("sb") <= F.col("ea")))
+        .groupBy("topic", "wa", "wb").agg((F.sum(overlap) / total).alias("pab"))
+    )
+    pairs = topics.select("topic", F.col("word").alias("wa")).join(topics.select("topic", F.col("word").alias("wb")), "topic")
+    scored = (
+        pairs.join(together, ["topic", "wa", "wb"], "left")
+        .join(single.select(F.col("word").alias("wa"), F.col("p").alias("pa")), "wa", "left")
+        .join(single.select(F.col("word").alias("wb"), F.col("p").alias("pb")), "wb", "left")
+        .na.fill(0.0, ["pab", "pa", "pb"])
+    )
+    joint = F.col("pab") + eps
+    npmi = F.coalesce(F.try_divide(F.log(joint / F.greatest(F.col("pa") * F.col("pb"), F.lit(eps))), -F.log(joint)), F.lit(0.0))
+    vectors = scored.select("topic", "wa", "wb", npmi.alias("x"))
+    sums = vectors.groupBy("topic", "wb").agg(F.sum("x").alias("t"))
+    cosine = vectors.join(sums, ["topic", "wb"], "inner").groupBy("topic", "wa").agg(
+        F.try_divide(F.sum(F.col("x") * F.col("t")), F.sqrt(F.sum(F.col("x") * F.col("x"))) * F.sqrt(F.sum(F.col("t") * F.col("t")))).alias("c")
+    )
+    return cosine.groupBy("topic").agg(F.avg("c").alias("coherence"))

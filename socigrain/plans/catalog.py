@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import graph_queries, network_queries, post_queries, rollup_queries  # noqa: F401
+from . import graph_queries, network_queries, post_queries, rollup_queries, stream_queries, text_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

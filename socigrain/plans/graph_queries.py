@@ -142,12 +142,12 @@ COMP = "cc AS (SELECT conv_id * 1000 + turn AS v, min(conv_id * 1000 + turn) OVE
 
 @query("G06_connected_components", sql(COMP, select="SELECT 'all' AS graph_id, v AS id, c AS component FROM cc"))
 def _(spark, sf):
-    return CP.connected_components(chains(spark, sf))
+    return CP.connected_components(chains(spark, sf).checkpointed())
 
 
 @query("G06_component_summary", sql(COMP, select="SELECT 'all' AS graph_id, count(*) AS components, max(n) AS largest FROM (SELECT c, count(*) AS n FROM cc GROUP BY c)"))
 def _(spark, sf):
-    return CP.component_summary(CP.connected_components(chains(spark, sf)))
+    return CP.component_summary(CP.connected_components(chains(spark, sf).checkpointed()))
 
 
 def reach_sql(rounds):
@@ -164,7 +164,7 @@ def reach_sql(rounds):
   , sz AS (SELECT g, c, count(*) AS n, row_number() OVER (PARTITION BY g ORDER BY count(*) DESC, c) AS i FROM lab GROUP BY 1, 2)
   SELECT ar.g AS graph_id, ar.s AS src, ar.t AS dst FROM ar JOIN lab ON lab.g = ar.g AND lab.v = ar.s JOIN sz ON sz.g = lab.g AND sz.c = lab.c AND sz.i = 1""", reach_sql(20)))
 def _(spark, sf):
-    return CP.giant_subgraph(tag_graphs(spark, sf)).edges.select("graph_id", "src", "dst")
+    return CP.giant_subgraph(tag_graphs(spark, sf).checkpointed()).edges.select("graph_id", "src", "dst")
 
 
 SUMMARY = """
@@ -174,35 +174,35 @@ SUMMARY = """
 
 @query("G07_path_summary", users_sql(SUMMARY, levels_sql(6), CLOSE))
 def _(spark, sf):
-    net = users(spark, sf)
+    net = users(spark, sf).checkpointed()
     return rounded(PA.path_summary(net, PA.hop_measures(net)).select("graph_id", "avg_path", "diameter"), "avg_path")
 
 
 @query("G07_hop_measures", sql(CH, levels_sql(14), CLOSE, select="SELECT g AS graph_id, v AS id, r AS reach, sd AS sum_dist, round(inv, 6) AS sum_inv, ecc FROM hm"))
 def _(spark, sf):
-    return rounded(PA.hop_measures(chains(spark, sf)), "sum_inv")
+    return rounded(PA.hop_measures(chains(spark, sf).checkpointed()), "sum_inv")
 
 
 @query("G07_hop_measures_directed", tags_sql("SELECT g AS graph_id, v AS id, r AS reach, sd AS sum_dist, round(inv, 6) AS sum_inv, ecc FROM hm", levels_sql(24), CLOSE))
 def _(spark, sf):
-    return rounded(PA.hop_measures(tag_graphs(spark, sf)), "sum_inv")
+    return rounded(PA.hop_measures(tag_graphs(spark, sf).checkpointed()), "sum_inv")
 
 
 @query("G08_global_efficiency", users_sql("SELECT g AS graph_id, round(sum(inv) / (any_value(n) * (any_value(n) - 1)), 6) AS global_efficiency FROM hm JOIN nn USING (g) GROUP BY g", levels_sql(6), CLOSE))
 def _(spark, sf):
-    net = users(spark, sf)
+    net = users(spark, sf).checkpointed()
     return rounded(PA.path_summary(net, PA.hop_measures(net)).select("graph_id", "global_efficiency"), "global_efficiency")
 
 
 @query("G09_global_reaching", users_sql("SELECT g AS graph_id, round(sum((SELECT max(inv) FROM hm) - inv) / (any_value(n) - 1) / (any_value(n) - 1), 6) AS global_reaching FROM hm JOIN nn USING (g) GROUP BY g", levels_sql(6), CLOSE))
 def _(spark, sf):
-    net = users(spark, sf)
+    net = users(spark, sf).checkpointed()
     return rounded(PA.path_summary(net, PA.hop_measures(net)).select("graph_id", "global_reaching"), "global_reaching")
 
 
 @query("G16_closeness", directed_sql("SELECT g AS graph_id, v AS id, round(coalesce(r / nullif(sd, 0) * (r / (n - 1)), 0), 6) AS closeness FROM hm JOIN nn USING (g)", levels_sql(8), CLOSE))
 def _(spark, sf):
-    net = users(spark, sf, True)
+    net = users(spark, sf, True).checkpointed()
     return rounded(PA.closeness(PA.hop_measures(net), net), "closeness")
 
 
@@ -216,12 +216,12 @@ tc AS (SELECT g, v, count(*) AS t FROM (SELECT g, a AS v FROM tri UNION ALL SELE
 
 @query("G10_clustering", users_sql("SELECT k.g AS graph_id, k.v AS id, round(CASE WHEN k < 2 THEN 0.0 ELSE 2.0 * coalesce(t, 0) / (k * (k - 1)) END, 6)::DOUBLE AS clustering FROM k LEFT JOIN tc ON tc.g = k.g AND tc.v = k.v", TRIS))
 def _(spark, sf):
-    return rounded(TRI.clustering(users(spark, sf)), "clustering")
+    return rounded(TRI.clustering(users(spark, sf).checkpointed()), "clustering")
 
 
 @query("G10_triangle_counts_by_tag", tags_sql("SELECT k.g AS graph_id, k.v AS id, k AS degree, coalesce(t, 0) AS triangles FROM k LEFT JOIN tc ON tc.g = k.g AND tc.v = k.v", TRIS))
 def _(spark, sf):
-    return TRI.triangle_counts(tag_graphs(spark, sf))
+    return TRI.triangle_counts(tag_graphs(spark, sf).checkpointed())
 
 
 @query("G11_weighted_clustering", users_sql("""
@@ -229,7 +229,7 @@ def _(spark, sf):
   ws AS (SELECT v, sum(gm) AS s FROM (SELECT a AS v, gm FROM wt UNION ALL SELECT b, gm FROM wt UNION ALL SELECT c, gm FROM wt) GROUP BY v)
   SELECT k.g AS graph_id, k.v AS id, round(coalesce(2.0::DOUBLE * s / nullif(k * (k - 1), 0), 0), 6) AS clustering FROM k LEFT JOIN ws ON ws.v = k.v""", TRIS))
 def _(spark, sf):
-    return rounded(TRI.weighted_clustering(users(spark, sf)), "clustering")
+    return rounded(TRI.weighted_clustering(users(spark, sf).checkpointed()), "clustering")
 
 
 @query("G12_directed_clustering", tags_sql("""
@@ -239,23 +239,23 @@ def _(spark, sf):
   dd AS (SELECT g, v, sum(m) AS d, count(*) FILTER (m = 2) AS r FROM (SELECT g, a AS v, m FROM sm UNION ALL SELECT g, b, m FROM sm) GROUP BY 1, 2)
   SELECT dd.g AS graph_id, dd.v AS id, round(CASE WHEN t IS NULL THEN 0.0::DOUBLE ELSE t / (2.0::DOUBLE * (d * (d - 1) - 2 * r)) END, 6) AS clustering FROM dd LEFT JOIN ws ON ws.g = dd.g AND ws.v = dd.v"""))
 def _(spark, sf):
-    return rounded(TRI.directed_clustering(tag_graphs(spark, sf)), "clustering")
+    return rounded(TRI.directed_clustering(tag_graphs(spark, sf).checkpointed()), "clustering")
 
 
 @query("G13_transitivity", tags_sql("SELECT k.g AS graph_id, round(coalesce(CAST(sum(2 * coalesce(t, 0)) AS DOUBLE) / nullif(sum(k * (k - 1)), 0), 0), 6) AS transitivity FROM k LEFT JOIN tc ON tc.g = k.g AND tc.v = k.v GROUP BY 1", TRIS))
 def _(spark, sf):
-    return rounded(TRI.transitivity(tag_graphs(spark, sf)), "transitivity")
+    return rounded(TRI.transitivity(tag_graphs(spark, sf).checkpointed()), "transitivity")
 
 
 # ------------------------------------------------------------------ G14-G17, G26: path-count measures
 @query("G14_betweenness", users_sql("SELECT g AS graph_id, v AS id, round(b / ((n - 1) * (n - 2)), 6) AS betweenness FROM bt JOIN nn USING (g)", levels_sql(6), dependencies_sql(6)))
 def _(spark, sf):
-    return rounded(PA.betweenness(users(spark, sf)), "betweenness")
+    return rounded(PA.betweenness(users(spark, sf).checkpointed()), "betweenness")
 
 
 @query("G14_betweenness_directed", directed_sql("SELECT g AS graph_id, v AS id, round(b / ((n - 1) * (n - 2)), 6) AS betweenness FROM bt JOIN nn USING (g)", levels_sql(8), dependencies_sql(8)))
 def _(spark, sf):
-    return rounded(PA.betweenness(users(spark, sf, True)), "betweenness")
+    return rounded(PA.betweenness(users(spark, sf, True).checkpointed()), "betweenness")
 
 
 def relaxations_sql(rounds):
@@ -270,19 +270,19 @@ def relaxations_sql(rounds):
 
 @query("G15_weighted_betweenness")
 def _(spark, sf):
-    return PA.betweenness(users(spark, sf), weighted=True)
+    return PA.betweenness(users(spark, sf).checkpointed(), weighted=True)
 
 
 @query("G17_weighted_closeness", users_sql("""
   SELECT g AS graph_id, v AS id, round(r / sd * (r / (n - 1)), 6) AS closeness
   FROM (SELECT g, v, count(*) FILTER (s <> v) AS r, sum(d) AS sd FROM wd GROUP BY 1, 2) JOIN nn USING (g)""", relaxations_sql(10)))
 def _(spark, sf):
-    return rounded(PA.weighted_closeness(users(spark, sf)), "closeness")
+    return rounded(PA.weighted_closeness(users(spark, sf).checkpointed()), "closeness")
 
 
 @query("G26_mean_path_nodes", directed_sql("SELECT g AS graph_id, s AS id, CAST(ceil(sum(sig * (d + 1)) / sum(sig)) AS BIGINT) AS path_nodes FROM hops GROUP BY 1, 2", levels_sql(8)))
 def _(spark, sf):
-    return PA.mean_path_nodes(users(spark, sf, True))
+    return PA.mean_path_nodes(users(spark, sf, True).checkpointed())
 
 
 # ------------------------------------------------------------------ G18-G23, G28: degree statistics and communities
@@ -295,7 +295,7 @@ def _(spark, sf):
   , dd AS (SELECT s AS v, count(*) AS d FROM ar GROUP BY s)
   SELECT 'all' AS graph_id, round(corr(x.d, y.d), 6) AS degree_assortativity FROM ar JOIN dd x ON x.v = ar.s JOIN dd y ON y.v = ar.t"""))
 def _(spark, sf):
-    return rounded(C.degree_assortativity(users(spark, sf)), "degree_assortativity")
+    return rounded(C.degree_assortativity(users(spark, sf).checkpointed()), "degree_assortativity")
 
 
 LAB = """lb AS (SELECT c_custkey AS v, c_nationkey AS c FROM customer WHERE c_custkey IN (SELECT v FROM vx)),
@@ -327,7 +327,7 @@ def _(spark, sf):
 
 @query("G20_communities")
 def _(spark, sf):
-    return CM.communities(users(spark, sf))
+    return CM.communities(users(spark, sf).checkpointed())
 
 
 @query("G28_community_flag_sizes", users_sql("""
@@ -352,12 +352,12 @@ def pagerank_sql(rounds, alpha=0.85):
 
 @query("G24_pagerank", directed_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p20", pagerank_sql(20)))
 def _(spark, sf):
-    return rounded(RK.pagerank(users(spark, sf, True), max_iter=20, fixed=True), "rank")
+    return rounded(RK.pagerank(users(spark, sf, True).checkpointed(), max_iter=20, fixed=True), "rank")
 
 
 @query("G24_pagerank_by_tag", tags_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p12", pagerank_sql(12)))
 def _(spark, sf):
-    return rounded(RK.pagerank(tag_graphs(spark, sf), max_iter=12, fixed=True), "rank")
+    return rounded(RK.pagerank(tag_graphs(spark, sf).checkpointed(), max_iter=12, fixed=True), "rank")
 
 
 def eigen_sql(rounds):
@@ -370,7 +370,7 @@ def eigen_sql(rounds):
 
 @query("G25_eigenvector", users_sql("SELECT g AS graph_id, v AS id, round(x, 6) AS centrality FROM e10", eigen_sql(10)))
 def _(spark, sf):
-    return rounded(RK.eigenvector(users(spark, sf), max_iter=10, fixed=True), "centrality")
+    return rounded(RK.eigenvector(users(spark, sf).checkpointed(), max_iter=10, fixed=True), "centrality")
 
 
 # ------------------------------------------------------------------ G29-G32: reports
