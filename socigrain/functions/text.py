@@ -25,15 +25,9 @@ def squeeze_spaces(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Upper-case every letter that does not follow a letter, lower-case the others."""
     chars = F.split(F.lower(text), "")
-    return F.array_join(
-        F.transform(
-            chars,
-            lambda x, i: F.when(
-                (i == 0) | ~F.element_at(chars, F.greatest(i, F.lit(1))).rlike(r"\p{L}"), F.upper(x)
-            ).otherwise(x),
-        ),
-        "",
-    )
+    before = F.concat(F.array(F.lit("")), F.slice(chars, F.lit(1), F.greatest(F.size(chars) - 1, F.lit(0))))
+    cased = F.zip_with(chars, before, lambda x, p: F.when(p.rlike(r"\p{L}"), x).otherwise(F.upper(x)))
+    return F.array_join(cased, "")
 
 
 def strip_urls(text: Column) -> Column:

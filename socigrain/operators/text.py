@@ -23,9 +23,9 @@ PHRASE_DELIMITER = "_"
 
 # ------------------------------------------------------------------ language fallback
 def char_ngrams(text: Column, n: int = 3) -> Column:
+    # one pass of overlapping look-ahead matches; a lambda over positions would redo the clean-up each time
     padded = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"(?U)[^\p{L}]+", " ")), F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))),
-                       lambda i: F.substring(padded, i, F.lit(n)))
+    return F.regexp_extract_all(padded, F.lit(f"(?=(.{{{n}}}))"), 1)
 
 
 def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = 300, n: int = 3) -> DataFrame:
@@ -180,12 +180,8 @@ def phrases_apply(docs: DataFrame, phrases: DataFrame, key: str, tokens: str, ou
     covered = F.flatten(F.transform(F.col("_spans"), lambda s: F.sequence(s["pos"] + 1, s["end"])))
     starts = F.array_except(F.sequence(F.lit(0), F.size(t) - 1), covered)
     size = F.size(t)
-    merged = F.transform(
-        starts,
-        lambda s, i: F.array_join(
-            F.slice(t, s + 1, F.coalesce(F.get(starts, i + 1), size) - s), PHRASE_DELIMITER
-        ),
-    )
+    ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(size))
+    merged = F.zip_with(starts, ends, lambda s, e: F.array_join(F.slice(t, s + 1, e - s), PHRASE_DELIMITER))
     result = F.when(F.col("_spans").isNull() | (size == 0), t).otherwise(merged)
     return joined.withColumn(out, result).drop("_spans")
 

@@ -31,7 +31,8 @@ def hashed(items):
 
 # ------------------------------------------------------------------ T01-T05
 GRAMS = r"""padded AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' AS p FROM documents),
-grams AS (SELECT doc_id, lang, p[i:i + 2] AS gram FROM (SELECT *, unnest(range(1, greatest(length(p) - 2, 1) + 1)) AS i FROM padded)),
+chars AS (SELECT doc_id, lang, unnest(string_split(p, '')) AS c, unnest(range(0, len(string_split(p, '')))) AS i FROM padded),
+grams AS (SELECT doc_id, lang, gram FROM (SELECT doc_id, lang, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL),
 prof AS (SELECT profile, gram, 301 - rk AS weight FROM (SELECT lang AS profile, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rk FROM grams GROUP BY 1, 2) WHERE rk <= 300)"""
 
 
