@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import scale_by_max
+from ..session import cut
 from .rollups import aliased, reaction_measures
 from .skew import with_group_totals
 
@@ -71,10 +72,11 @@ def tag_totals(tag_days: DataFrame) -> DataFrame:
 def tag_popularity(tag_days: DataFrame) -> DataFrame:
     """alpha: user days per use; beta: share of all uses; gamma: favourites; each also by its maximum.
 
-    The largest values are scalar subqueries over the per-tag table: one row, no window, no join.
+    The per-tag table is stored first: its sum and maxima are scalar subqueries over it, and
+    without that each of them would run the rollup again.
     """
-    totals = tag_totals(tag_days)
-    all_uses = tag_days.select(F.sum("tag_cnt")).scalar()
+    totals = cut(tag_totals(tag_days), "tag-totals")
+    all_uses = totals.select(F.sum("tag_cnt")).scalar()
     measured = totals.withColumns(
         {
             "alpha": F.col("user_days") / F.col("tag_cnt"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import remove_stop_words, strip_noise, tokenize
+from ..session import cut
 from .skew import lookup_join, number_rows
 
 # Languages that mean "unknown" and languages kept for text mining.
@@ -145,9 +146,12 @@ def phrases_fit(docs: DataFrame, tokens: str, min_count: int, threshold: float,
         .groupBy("a", "b", "link")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    words, pairs = cut(words, "words"), cut(pairs, "pairs")
     vocabulary = words.select(F.count(F.lit(1))).scalar() + pairs.select(F.count(F.lit(1))).scalar()
     na = words.select(F.col("w").alias("a"), F.col("n").alias("na"))
     nb = words.select(F.col("w").alias("b"), F.col("n").alias("nb"))
+    if threshold >= 0:
+        pairs = pairs.filter(F.col("n") > min_count)
     joined = lookup_join(lookup_join(pairs, na, "a", "inner"), nb, "b", "inner")
     score = (F.col("n") - min_count) * vocabulary / F.col("na") / F.col("nb")
     return joined.withColumn("score", score).filter(F.col("score") > threshold).select("a", "b", "link", "n", "score")

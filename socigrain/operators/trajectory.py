@@ -142,40 +142,51 @@ def near_pairs(traj: DataFrame, limit: float) -> DataFrame:
     """Every (entity_a < entity_b, frame, dist) with dist <= limit, exactly.
 
     Positions fall in square cells of side ``limit``; a point only meets the points of its own
-    and the eight neighbouring cells, so far pairs are never formed.
+    cell and of four of the eight neighbours (the other four meet it from their side), so far
+    pairs are never formed and near pairs once.
     """
     cell = lambda c: F.floor(F.col(c) / F.lit(float(limit)))
-    pts = traj.filter(F.col("pos_x").isNotNull() & F.col("pos_y").isNotNull()).withColumns(
-        {"_cx": cell("pos_x"), "_cy": cell("pos_y")}
+    pts = traj.filter(F.col("pos_x").isNotNull() & F.col("pos_y").isNotNull()).select(
+        "frame", cell("pos_x").alias("_cx"), cell("pos_y").alias("_cy"), "entity", "pos_x", "pos_y"
     )
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    a = (
-        pts.withColumn("_sx", F.explode(steps)).withColumn("_sy", F.explode(steps))
-        .select("frame", (F.col("_cx") + F.col("_sx")).alias("_cx"), (F.col("_cy") + F.col("_sy")).alias("_cy"),
-                F.col("entity").alias("entity_a"), F.col("pos_x").alias("ax"), F.col("pos_y").alias("ay"))
+    steps = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
+    a = pts.withColumn("_s", F.explode(steps)).select(
+        "frame", (F.col("_cx") + F.col("_s.x")).alias("_cx"), (F.col("_cy") + F.col("_s.y")).alias("_cy"),
+        ((F.col("_s.x") == 0) & (F.col("_s.y") == 0)).alias("_own"),
+        F.col("entity").alias("_a"), F.col("pos_x").alias("ax"), F.col("pos_y").alias("ay"),
     )
-    b = pts.select("frame", "_cx", "_cy", F.col("entity").alias("entity_b"),
-                   F.col("pos_x").alias("bx"), F.col("pos_y").alias("by"))
+    b = pts.select("frame", "_cx", "_cy", F.col("entity").alias("_b"), F.col("pos_x").alias("bx"), F.col("pos_y").alias("by"))
     dist = euclid(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by"))
+    once = F.when(F.col("_own"), F.col("_a") < F.col("_b")).otherwise(F.col("_a") != F.col("_b"))
     return (
         lookup_join(a, b, ["frame", "_cx", "_cy"], "inner")
-        .filter(F.col("entity_a") < F.col("entity_b"))
-        .withColumn("dist", dist)
-        .filter(F.col("dist") <= limit)
-        .select("entity_a", "entity_b", "frame", "dist")
+        .filter(once & (dist <= limit))
+        .select(F.least("_a", "_b").alias("entity_a"), F.greatest("_a", "_b").alias("entity_b"), "frame", dist.alias("dist"))
     )
 
 
 def contact_runs(near: DataFrame, min_frames: int, block: int = BLOCK) -> DataFrame:
     """Islands of consecutive near frames of a pair lasting at least ``min_frames``."""
     pair = ["entity_a", "entity_b"]
-    numbered = number_rows(near, pair, ["frame"], F.floor(F.col("frame") / block), "_rn")
-    return (
-        numbered.groupBy(*pair, (F.col("frame") - F.col("_rn")).alias("_island"))
-        .agg(F.min("frame").alias("start"), F.max("frame").alias("end"), F.count(F.lit(1)).alias("frames"))
-        .filter(F.col("frames") >= min_frames)
-        .drop("_island")
+    cell = [*pair, "_block"]
+    inside = W.partitionBy(*cell).orderBy("frame")
+    runs = (
+        near.withColumn("_block", F.floor(F.col("frame") / block))
+        .withColumn("_island", F.col("frame") - F.row_number().over(inside))
+        .groupBy(*cell, "_island")
+        .agg(F.min("frame").alias("start"), F.max("frame").alias("end"))
+    )
+    # only runs that touch the edge of a block can go on in the next one: at most two per block
+    first = F.col("_block") * block
+    edge = (F.col("start") == first) | (F.col("end") == first + block - 1)
+    along = W.partitionBy(*pair).orderBy("start")
+    fresh = F.coalesce((F.col("start") > F.lag("end").over(along) + 1).cast("int"), F.lit(1))
+    joined = (
+        runs.filter(edge).withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(along))
+        .groupBy(*pair, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
+    whole = runs.filter(~edge).select(*pair, "start", "end").unionByName(joined.select(*pair, "start", "end"))
+    return whole.withColumn("frames", F.col("end") - F.col("start") + 1).filter(F.col("frames") >= min_frames)
 
 
 def contacts(traj: DataFrame, distance: float, min_frames: int) -> DataFrame:

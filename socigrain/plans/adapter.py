@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.skew import lookup_join, number_rows
 from ..operators import posts as P
+from ..operators.skew import lookup_join, number_rows
+from ..session import balanced
 
 RUN_DAY = "2024-02-01"
 LANGS = ["en", "hr", "sl", "und", "de"]
@@ -20,9 +21,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return balanced(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+
+
 def activity(spark: SparkSession, sf: str) -> DataFrame:
     """One row per event: id, author, time, favourites, k, kind of reaction, parent id."""
-    ev = table(spark, sf, "events").select(
+    ev = balanced(table(spark, sf, "events").select("event_id", "user_id", "ts", "value", "props", "event_type")).select(
         F.col("event_id").alias("id"),
         "user_id",
         F.date_trunc("second", F.col("ts").cast("timestamp")).alias("created_at"),

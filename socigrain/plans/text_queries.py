@@ -21,7 +21,7 @@ words AS (SELECT doc_id, lang, unnest(tokens) AS w, unnest(range(0, len(tokens))
 
 
 def docs(spark, sf):
-    d = ad.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = ad.documents(spark, sf)
     return TX.text_tokens(d, STOP_WORDS, "text").drop("text")
 
 
@@ -38,14 +38,14 @@ prof AS (SELECT profile, gram, 301 - rk AS weight FROM (SELECT lang AS profile,
 
 @query("T01_language_profiles", sql(GRAMS, select="SELECT profile, gram, CAST(weight AS BIGINT) AS weight FROM prof"))
 def _(spark, sf):
-    return TX.language_profiles(ad.table(spark, sf, "documents")).withColumn("weight", F.col("weight").cast("bigint"))
+    return TX.language_profiles(ad.documents(spark, sf)).withColumn("weight", F.col("weight").cast("bigint"))
 
 
 @query("T01_lang_fallback", sql(GRAMS, select="""
   SELECT doc_id, detected FROM (SELECT doc_id, profile AS detected, row_number() OVER (PARTITION BY doc_id ORDER BY sum(weight) DESC, profile) AS i
     FROM grams JOIN prof USING (gram) GROUP BY doc_id, profile) WHERE i = 1"""))
 def _(spark, sf):
-    d = ad.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = ad.documents(spark, sf)
     profiles = cut(TX.language_profiles(d))
     unknown = d.withColumn("lang", F.lit("und"))
     return TX.lang_fallback(unknown, profiles, "doc_id", "text").select("doc_id", F.col("lang").alias("detected"))
@@ -54,12 +54,12 @@ def _(spark, sf):
 @query("T02_strip_noise", r"""SELECT doc_id, md5(regexp_replace(regexp_replace(text,
   'https?://[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_+.~#?&/=]*)', '', 'g'), '@[A-Za-z0-9_-]+', '', 'g')) AS h FROM documents""")
 def _(spark, sf):
-    return ad.table(spark, sf, "documents").select("doc_id", F.md5(T.strip_noise(F.col("text"))).alias("h"))
+    return ad.documents(spark, sf).select("doc_id", F.md5(T.strip_noise(F.col("text"))).alias("h"))
 
 
 @query("T03_tokenize", sql(TOKENS, select="SELECT doc_id, len(all_tokens) AS n, md5(array_to_string(all_tokens, ' ')) AS h FROM tok"))
 def _(spark, sf):
-    d = TX.text_tokens(ad.table(spark, sf, "documents"), (), "text")
+    d = TX.text_tokens(ad.documents(spark, sf), (), "text")
     return d.select("doc_id", F.size("tokens").alias("n"), hashed("tokens").alias("h"))
 
 

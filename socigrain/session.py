@@ -60,3 +60,13 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a table of fewer files than cores over all cores.
+
+    A few small files with one row group each would otherwise be parsed by as many tasks.  A
+    large table has more files than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
