@@ -40,7 +40,9 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} cannot split a hot left key")
-    return left.join(right, [on] if isinstance(on, str) else list(on), how)
+    keys = [on] if isinstance(on, str) else list(on)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return left.join(right, keys, how).select(*[f"`{c}`" for c in [*left.columns, *added]])
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:

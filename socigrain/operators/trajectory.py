@@ -176,17 +176,21 @@ def contact_runs(near: DataFrame, min_frames: int, block: int = BLOCK) -> DataFr
         .groupBy(*cell, "_island")
         .agg(F.min("frame").alias("start"), F.max("frame").alias("end"))
     )
-    # only runs that touch the edge of a block can go on in the next one: at most two per block
+    # Only runs that touch the edge of a block can go on in the next one: at most two per block.
+    # Every other run is its own window partition and, if too short, is dropped here.
     first = F.col("_block") * block
     edge = (F.col("start") == first) | (F.col("end") == first + block - 1)
-    along = W.partitionBy(*pair).orderBy("start")
+    runs = runs.withColumns({"_edge": edge, "_own": F.when(~edge, F.col("start"))})
+    runs = runs.filter(F.col("_edge") | (F.col("end") - F.col("start") + 1 >= min_frames))
+    group = [*pair, "_edge", "_own"]
+    along = W.partitionBy(*group).orderBy("start")
     fresh = F.coalesce((F.col("start") > F.lag("end").over(along) + 1).cast("int"), F.lit(1))
-    joined = (
-        runs.filter(edge).withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(along))
-        .groupBy(*pair, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    merged = (
+        runs.withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(along))
+        .groupBy(*group, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .select(*pair, "start", "end")
     )
-    whole = runs.filter(~edge).select(*pair, "start", "end").unionByName(joined.select(*pair, "start", "end"))
-    return whole.withColumn("frames", F.col("end") - F.col("start") + 1).filter(F.col("frames") >= min_frames)
+    return merged.withColumn("frames", F.col("end") - F.col("start") + 1).filter(F.col("frames") >= min_frames)
 
 
 def contacts(traj: DataFrame, distance: float, min_frames: int) -> DataFrame:
