@@ -25,3 +25,10 @@ def scale_by_max(x: Column, largest: Column) -> Column:
 
 def min_max(x: Column, smallest: Column, largest: Column) -> Column:
     return F.try_divide(x - smallest, largest - smallest)
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation as an aggregate; null where a side is constant (``corr`` raises there)."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

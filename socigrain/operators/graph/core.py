@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ...functions.numbers import correlation
 from ...session import cut
 from ..skew import HOT_ROWS, hot_keys, number_rows
 
@@ -190,7 +191,7 @@ def degree_assortativity(net: Network) -> DataFrame:
     with_src = table.send(d.withColumnRenamed("degree", "src_degree"))
     back = with_src.select("graph_id", F.col("dst").alias("src"), F.col("src").alias("dst"), "src_degree")
     both = ArcTable(back).send(d.withColumnRenamed("degree", "dst_degree"))
-    return both.groupBy("graph_id").agg(F.corr("src_degree", "dst_degree").alias("degree_assortativity"))
+    return both.groupBy("graph_id").agg(correlation(F.col("src_degree"), F.col("dst_degree")).alias("degree_assortativity"))
 
 
 def measure_filter(measures: DataFrame, value: str, limit: float = 0.0, n: int | None = None, descending: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import scale_by_max
+from ..functions.numbers import correlation, scale_by_max
 from ..session import cut
 from .rollups import aliased, reaction_measures
 from .skew import with_group_totals
@@ -163,4 +163,4 @@ def repost_original_correlation(tagged: DataFrame) -> DataFrame:
         F.count_if("is_repost").cast("double").alias("reposts"),
         F.count_if("is_original").cast("double").alias("originals"),
     )
-    return per_tag.agg(F.corr("reposts", "originals").alias("r"), F.count(F.lit(1)).alias("tags"))
+    return per_tag.agg(correlation(F.col("reposts"), F.col("originals")).alias("r"), F.count(F.lit(1)).alias("tags"))

@@ -50,10 +50,11 @@ def test_hops_and_summary(net):
 
 
 def test_more_sources_than_one_word(spark):
-    ring = build(spark, {"ring": [(i, (i + 1) % 150) for i in range(150)]})
+    # a circle in which everybody knows the ten next on either side
+    ring = build(spark, {"ring": [(i, (i + k) % 150) for i in range(150) for k in range(1, 11)]})
     hops = PA.hop_measures(ring, words=1, batches_at_once=2)
     got = {(r["reach"], r["sum_dist"], r["ecc"]) for r in hops.collect()}
-    assert got == {(149, 2 * sum(range(1, 75)) + 75, 75)}
+    assert got == {(149, 2 * sum(-(-k // 10) for k in range(1, 75)) + 8, 8)}
 
 
 def test_betweenness(spark, net):
