@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,20 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's setting, a temporary one only if unset."""
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a temporary folder; a cluster would lose what its
+    executors write there, so it raises.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="socigrain-")
+        if current.isDefined():
+            folder = current.get()
+        elif re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            folder = tempfile.mkdtemp(prefix="socigrain-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -62,6 +72,15 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_cut(df: DataFrame) -> None:
+    """Delete the table behind a frame that ``cut`` returned, once nothing reads it any more."""
+    for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        if "/socigrain/" in path:
+            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def balanced(df: DataFrame) -> DataFrame:
     """Spread a table of fewer files than cores over all cores.
 
