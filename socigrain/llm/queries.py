@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality
+from . import byte_bpe, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,4 +25,10 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", *quality.STATS, "base_failed", "kept")
 
 
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of word triples and the components of those within two bits."""
+    return simhash.digests(table(spark, sf, "documents"), words=3)
+
+
+QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
