@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality, simhash
+from . import byte_bpe, quality, simhash, substring_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,5 +30,11 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.digests(table(spark, sf, "documents"), words=3)
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without the words of windows that occur twice or more."""
+    return substring_dedup.digests(table(spark, sf, "documents"))
+
+
+QUERIES.update(op1_substring_dedup=op1_substring_dedup)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
