@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality, simhash, substring_dedup
+from . import byte_bpe, quality, simhash, substring_dedup, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,5 +36,11 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op1_substring_dedup=op1_substring_dedup)
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without the bytes of 200-byte strings that occur twice or more."""
+    return suffix_dedup.digests(table(spark, sf, "documents"))
+
+
+QUERIES.update(op3_suffix_dedup=op3_suffix_dedup)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
