@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality, simhash, substring_dedup, suffix_dedup
+from . import byte_bpe, quality, secrets, simhash, substring_dedup, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,5 +42,11 @@ def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op3_suffix_dedup=op3_suffix_dedup)
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of every text: the base patterns and strings that pass for random."""
+    return secrets.digests(table(spark, sf, "documents"))
+
+
+QUERIES.update(op4_secret_scan=op4_secret_scan)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
