@@ -61,14 +61,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/socigrain/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, label: str = "step") -> DataFrame:
+def cut(df: DataFrame, label: str = "step", compression: str = "snappy") -> DataFrame:
     """End a lineage: write a table in the shared folder and read it back.
 
     It survives the loss of executors, and unlike a checkpointed plan it has its real size, so
     that Spark can choose joins by it however many rounds an algorithm runs.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
