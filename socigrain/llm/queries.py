@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality, secrets, simhash, substring_dedup, suffix_dedup
-from .common import table
+from . import byte_bpe, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,5 +48,12 @@ def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op4_secret_scan=op4_secret_scan)
+def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every text, written to Huffman-coded files and read back."""
+    docs = table(spark, sf, "documents")
+    return token_files.digests(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "token-files"))
+
+
+QUERIES.update(op8_token_files=op8_token_files)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
