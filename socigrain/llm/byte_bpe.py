@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import map_batches, text_of
 
@@ -111,32 +111,29 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     each of its matches is encoded by itself.  The model (about the size of the rank file) is
     sent to the tasks with the function.
     """
-    model = serialise(read_ranks(ranks_path))
-    model_at = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary file
-    source = docs.columns
-    given = docs.withColumn("_text", text_of(text))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != ids)
-    kept = [c for c in source if c != ids]
+    model_at = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))  # bounded by the vocabulary file
+    schema = T.StructType([T.StructField("_row", docs.drop(ids).select(F.struct("*")).schema[0].dataType), T.StructField(ids, T.BinaryType())])
 
     def work(batch):
         coded = encode_texts(batch.column("_text").to_pylist(), model_at.value, pattern)
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(coded, pa.binary())], [*kept, ids])
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(coded, pa.binary())], ["_row", ids])
 
-    return map_batches(given, f"{schema}, `{ids}` binary" if kept else f"`{ids}` binary", work)
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != ids]).alias("_row"), text_of(text).alias("_text"))
+    return map_batches(given, schema, work).select("_row.*", ids)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that ``ids`` stand for; null ids give no bytes."""
     model_at = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
-    kept = [c for c in docs.columns if c != decoded]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != decoded)
+    others = docs.drop(decoded).columns
+    schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in others]).schema, T.StructField(decoded, T.BinaryType())])
 
     def work(batch):
         pieces = _inverse(model_at.value)
         out = [b"".join([pieces[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in batch.column(ids).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, pa.binary())], [*kept, decoded])
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(out, pa.binary())], [*others, decoded])
 
-    return map_batches(docs, f"{schema}, `{decoded}` binary", work)
+    return map_batches(docs, schema, work)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

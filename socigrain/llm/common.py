@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut, drop_cut, scratch_path, shared_dir, tune  # noqa: F401
 
@@ -47,7 +48,7 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).alias("_doc"), F.xxhash64(text_of(text)).alias("_print"), text_of(text).alias("_text"))
 
 
-def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
+def map_batches(df: DataFrame, schema: str | StructType, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` for a step that looks at one batch at a time; empty batches are skipped."""
 
     def run(batches):
@@ -84,3 +85,9 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def raw_texts(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
+
+
+def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``keyed`` rows that carry the whole source row as the struct ``_row``, whatever its columns are called."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*own).alias("_row"), F.col(doc_id).alias("_doc"), F.xxhash64(text_of(text)).alias("_print"), text_of(text).alias("_text"))

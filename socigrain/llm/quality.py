@@ -17,7 +17,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import cut, map_batches, text_of
 
@@ -74,16 +74,16 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts count as nothing; rows are independent, so repeated rows stay.
     """
     kept = [f for f in docs.schema if f.name not in STATS]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{s} long" for s in STATS)])
+    schema = T.StructType([*kept, *(T.StructField(s, T.LongType()) for s in STATS)])
     names = [f.name for f in kept]
 
     def work(batch):
-        raw = batch.column("_text").cast(pa.binary()).to_pylist()
+        raw = batch.column("_body").cast(pa.binary()).to_pylist()
         counted = np.array([count_text(x) for x in raw], np.int64).reshape(len(raw), len(STATS))
         columns = [*[batch.column(c) for c in names], *[pa.array(counted[:, i]) for i in range(len(STATS))]]
         yield pa.RecordBatch.from_arrays(columns, [*names, *STATS])
 
-    return map_batches(docs.withColumn("_text", text_of(text)), schema, work)
+    return map_batches(docs.withColumn("_body", text_of(text)), schema, work)
 
 
 def base_failed():

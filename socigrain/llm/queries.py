@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, decontamination, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,5 +55,11 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op8_token_files=op8_token_files)
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and where it is."""
+    return decontamination.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES.update(op10_decontamination=op10_decontamination)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
