@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontamination, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, decontamination, line_dedup, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,5 +61,11 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op10_decontamination=op10_decontamination)
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without lines that repeat an earlier line, up to one word."""
+    return line_dedup.digests(table(spark, sf, "documents"))
+
+
+QUERIES.update(op9_line_dedup=op9_line_dedup)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
