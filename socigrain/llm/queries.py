@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, decontamination, line_dedup, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, decontamination, line_dedup, lm_score, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,5 +67,11 @@ def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update(op9_line_dedup=op9_line_dedup)
+def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text scored by a bigram trie that nine tenths of the documents train."""
+    return lm_score.score(table(spark, sf, "documents"))
+
+
+QUERIES.update(op2_lm_score=op2_lm_score)
 QUERIES.update(op7_simhash=op7_simhash)
 QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)

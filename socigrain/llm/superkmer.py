@@ -82,8 +82,8 @@ def byte_units(data: np.ndarray, offsets: np.ndarray) -> tuple[Rolling, np.ndarr
     return Rolling(data, _BASE, _INVERSE), offsets
 
 
-def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[Rolling, np.ndarray]:
-    """A rolling hash over word hashes, and the word offset at which each text starts."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and the word number at which each text starts."""
     n = len(data)
     space = np.empty(n + 2, bool)
     space[0] = space[-1] = True
@@ -92,8 +92,13 @@ def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[Rolling, np.ndarr
     edge[offsets] = True  # texts follow each other without white space between
     starts = np.flatnonzero(~space[1:-1] & (space[:-2] | edge[:-1]))
     ends = np.flatnonzero(~space[1:-1] & (space[2:] | edge[1:])) + 1
-    hashes = Rolling(data, _BASE, _INVERSE).ranges(starts, ends)
-    return Rolling(hashes, _WORD_BASE, _WORD_INVERSE), np.searchsorted(starts, offsets)
+    return Rolling(data, _BASE, _INVERSE).ranges(starts, ends), np.searchsorted(starts, offsets)
+
+
+def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[Rolling, np.ndarray]:
+    """A rolling hash over word hashes, and the word offset at which each text starts."""
+    hashes, first = word_hashes(data, offsets)
+    return Rolling(hashes, _WORD_BASE, _WORD_INVERSE), first
 
 
 def super_kmers(rolling: Rolling, offsets: np.ndarray, length: int, gram: int):
