@@ -134,10 +134,11 @@ def certify(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> Da
     """
     rows = labelled.filter(F.col("quality").isNotNull() & ~base_failed())
     # step: how many cutoffs of the falling grid lie at or over the rate; those after it reject
-    steps = F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.size(F.filter(F.array(*[F.lit(c) for c in grid(r)]), lambda c, v=rate(r): v <= c)).alias("step"))
-        for r in RULES
-    ])
+    def step(rule: str):
+        value = rate(rule)
+        return F.size(F.filter(F.array(*[F.lit(c) for c in grid(rule)]), lambda cutoff: value <= cutoff))
+
+    steps = F.array(*[F.struct(F.lit(r).alias("rule"), step(r).alias("step")) for r in RULES])
     counts = (
         rows.select("_stratum", "quality", F.explode(steps).alias("s"))
         .groupBy("_stratum", "s.rule", "s.step")
