@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_batches, raw_texts
-from .superkmer import covered, digest, grouped, in_buckets, removed_mask, runs_of, word_windows
+from .superkmer import covered, grouped, in_buckets, removed_mask, runs_of, word_windows
 
-WINDOW, GRAM = 35, 20
+WINDOW, GRAM = 35, 12
 
 
 def repeated_windows(strings: list[bytes], counts: list[int], window: int) -> list[list[bool]]:
@@ -47,12 +47,13 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_
     def count(batches):
         found: list[tuple] = []
         for (m, slot), rows in grouped(batches, ["_m", "_slot"]):
+            rows = list({(r["_c"], r["_j"]): r for r in rows}.values())  # a split join may pack one twice
             strings, counts = [r["_packed"] for r in rows], [r["_count"] for r in rows]
-            if slot or len(rows) == 1:  # dealt-out windows are whole rows; a lone super-k-mer repeats as a whole
-                flags = [[c > 1] * (s.count(b" ") + 2 - window) for s, c in zip(strings, counts)]
+            if len(rows) == 1:  # a lone super-k-mer repeats as a whole
+                flags = [[counts[0] > 1] * (strings[0].count(b" ") + 2 - window)]
             else:
                 flags = repeated_windows(strings, counts, window)
-            found += [(m, digest(s), f, t) for s, flag in zip(strings, flags) for f, t in runs_of(flag)]
+            found += [(m, r["_c"], r["_j"] + f, r["_j"] + t) for r, flag in zip(rows, flags) for f, t in runs_of(flag)]
             if len(found) > 5000:
                 yield batch_of(found)
                 found = []
@@ -60,12 +61,11 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_
             yield batch_of(found)
 
     def batch_of(found):
-        columns = list(zip(*found))
-        types = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["_m", "_dig", "_f", "_t"])
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["_m", "_c", "_f", "_t"])
 
     cutting = word_windows(window, gram)
-    return covered(docs, cutting, lambda d: in_buckets(d, count, "_m long, _dig binary, _f int, _t int"), doc_id, text)[0]
+    return covered(docs, cutting, lambda d: in_buckets(d, count, "_m long, _c long, _f int, _t int"), doc_id, text)[0]
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ d bytes to the left, or if the same suffix and left side were counted more than
 from __future__ import annotations
 
 import struct
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -23,18 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import map_batches, partitions, raw_texts
-from .superkmer import byte_windows, covered, digest, removed_mask, runs_of
+from .superkmer import byte_windows, covered, removed_mask, runs_of
 
-LENGTH, GRAM = 200, 100
+LENGTH, GRAM = 200, 64
 #: Bytes of suffixes in a sorted run, and of an exchanged piece of a run.
 RUN_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 #: Up to so many different contexts of one minimiser are compared one by one.
 FEW = 16
 HEAD = ">qi"  # minimiser hash and slot precede the suffix
 HEAD_SIZE = struct.calcsize(HEAD)
-_ENTRY = struct.Struct("<HIHQ")  # shared prefix, rest, left side, count
+ENTRY = "<HHHQqI"  # shared prefix, rest, left side, count, content name, window number
+ENTRY_SIZE = struct.calcsize(ENTRY)
 
-Entry = tuple[int, bytes, bytes, int]  # prefix shared with the one before, head and suffix, reversed left side, count
+#: Prefix shared with the one before, head and suffix, reversed left side, count, content name, window number.
+Entry = tuple[int, bytes, bytes, int, int, int]
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -44,13 +47,13 @@ def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     return n - (differ.bit_length() + 7) // 8
 
 
-def front_coded(entries: list[tuple[bytes, bytes, int]]) -> Iterator[bytes]:
-    """Pieces of a sorted run of (head and suffix, reversed left side, count)."""
+def front_coded(entries: list[tuple[bytes, bytes, int, int, int]]) -> Iterator[bytes]:
+    """Pieces of a sorted run of entries without their prefix lengths."""
     before, piece, size = b"", [], 0
-    for key, left, count in entries:
+    for key, left, *rest in entries:
         lcp = shared_prefix(before, key)
-        piece += [_ENTRY.pack(lcp, len(key) - lcp, len(left), count), key[lcp:], left]
-        size += len(key) - lcp + len(left) + _ENTRY.size
+        piece += [struct.pack(ENTRY, lcp, len(key) - lcp, len(left), *rest), key[lcp:], left]
+        size += len(key) - lcp + len(left) + ENTRY_SIZE
         before = key
         if size > PIECE_BYTES:
             yield b"".join(piece)
@@ -64,11 +67,11 @@ def decoded(pieces: list[bytes]) -> Iterator[Entry]:
     for piece in pieces:
         at = 0
         while at < len(piece):
-            lcp, rest, left, count = _ENTRY.unpack_from(piece, at)
-            at += _ENTRY.size
+            lcp, rest, left, *names = struct.unpack_from(ENTRY, piece, at)
+            at += ENTRY_SIZE
             before = before[:lcp] + piece[at : at + rest]
             at += rest
-            yield lcp, before, piece[at : at + left], count
+            yield lcp, before, piece[at : at + left], *names
             at += left
 
 
@@ -167,9 +170,9 @@ def merged(different: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         size = run = 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("_bucket", "_m", "_slot", "_off", "_packed", "_count")]
-            for bucket, m, slot, off, packed, count in zip(*columns):
-                held.append((bucket, struct.pack(HEAD, m, slot) + packed[off:], packed[:off][::-1], count))
+            columns = [batch.column(c).to_pylist() for c in ("_bucket", "_m", "_slot", "_off", "_packed", "_count", "_c", "_j")]
+            for bucket, m, slot, off, packed, *names in zip(*columns):
+                held.append((bucket, struct.pack(HEAD, m, slot) + packed[off:], packed[:off][::-1], *names))
                 size += len(packed)
             if size > RUN_BYTES:
                 yield coded(held, run)
@@ -186,7 +189,7 @@ def merged(different: DataFrame, length: int) -> DataFrame:
         types = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["_bucket", "_run", "_piece", "_coded"])
 
-    runs = bucketed.select("_bucket", "_m", "_slot", "_off", "_packed", "_count").mapInArrow(sort_runs, "_bucket int, _run int, _piece int, _coded binary")
+    runs = bucketed.mapInArrow(sort_runs, "_bucket int, _run int, _piece int, _coded binary")
     runs = runs.withColumn("_task", F.spark_partition_id())
     order = ["_bucket", "_task", "_run", "_piece"]
     exchanged = runs.repartition(buckets, "_bucket").sortWithinPartitions(*order)
@@ -225,22 +228,31 @@ def merged(different: DataFrame, length: int) -> DataFrame:
 
     def windows_of(group):
         m, slot = struct.unpack_from(HEAD, group[0][1])
-        rights, lefts, counts = [e[1][HEAD_SIZE :] for e in group], [e[2] for e in group], [e[3] for e in group]
+        kept, names, lcp = [], set(), HEAD_SIZE
+        for entry in group:
+            lcp = min(lcp, entry[0]) if kept else HEAD_SIZE
+            if entry[4:] not in names:  # a split join may pack one twice
+                names.add(entry[4:])
+                kept.append((lcp, *entry[1:]))
+                lcp = 1 << 16
+        rights, lefts = [e[1][HEAD_SIZE:] for e in kept], [e[2] for e in kept]
         if slot:  # dealt-out single windows: whole rows are equal or not
-            flags = [np.array([c > 1]) for c in counts]
+            total = Counter()
+            for right, left, entry in zip(rights, lefts, kept):
+                total[right, left] += entry[3]
+            flags = [np.array([total[pair] > 1]) for pair in zip(rights, lefts)]
         else:
-            flags = repeated_offsets(rights, [max(0, e[0] - HEAD_SIZE) for e in group], lefts, counts, length)
-        for right, left, flag in zip(rights, lefts, flags):
+            flags = repeated_offsets(rights, [max(0, e[0] - HEAD_SIZE) for e in kept], lefts, [e[3] for e in kept], length)
+        for (*_, c, j), flag in zip(kept, flags):
             if flag.any():
-                name = digest(left[::-1] + right)
                 # window offsets run against d: the last d belongs to the first window
-                yield from ((m, name, f, t) for f, t in runs_of(flag[::-1]))
+                yield from ((m, c, j + f, j + t) for f, t in runs_of(flag[::-1]))
 
     def batch_of(found):
-        types = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["_m", "_dig", "_f", "_t"])
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["_m", "_c", "_f", "_t"])
 
-    return exchanged.mapInArrow(merge, "_m long, _dig binary, _f int, _t int")
+    return exchanged.mapInArrow(merge, "_m long, _c long, _f int, _t int")
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

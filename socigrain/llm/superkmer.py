@@ -14,7 +14,6 @@ needs, a window's slot being a hash of its own content.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -139,12 +138,12 @@ def byte_windows(length: int, gram: int) -> Windows:
     return Windows(length, gram, byte_units, bytes, bytes)
 
 
-def digest(packed: bytes) -> bytes:
-    return hashlib.md5(packed, usedforsecurity=False).digest()
+def shared_super_kmers(rows: DataFrame, cutting: Windows, kind: str) -> DataFrame:
+    """(_m, _c, _doc, _print, _at, _n, _off): super-k-mers whose minimiser occurs elsewhere too.
 
-
-def candidates(rows: DataFrame, cutting: Windows, kind: str) -> DataFrame:
-    """(_doc, _print, _supers): the super-k-mers of each text whose minimiser occurs elsewhere too."""
+    (_m, _c) names a super-k-mer's content: 64 bits for the minimiser, and 64 for the whole, which
+    only has to tell apart what shares the minimiser.
+    """
 
     def find(batch):
         column = batch.column("_text")
@@ -152,68 +151,56 @@ def candidates(rows: DataFrame, cutting: Windows, kind: str) -> DataFrame:
             part = column.slice(low, high - low)
             text, start, count, offset, least, content = super_kmers(*cutting.units(*bytes_of(part)), cutting.length, cutting.gram)
             pick = pa.array(text + low)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(least.view(np.int64)), pa.array((content >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                    batch.column("_doc").take(pick), batch.column("_print").take(pick),
-                    pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(offset.astype(np.int32)),
-                ],
-                ["_m", "_c", "_doc", "_print", "_at", "_n", "_off"],
-            )
-
-    supers = map_batches(rows, f"_m long, _c int, _doc {kind}, _print long, _at int, _n int, _off int", find)
+            columns = [pa.array(least.view(np.int64)), pa.array(content.view(np.int64)), batch.column("_doc").take(pick), batch.column("_print").take(pick)]
+            columns += [pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16)), pa.array(offset.astype(np.int16))]
+            yield pa.RecordBatch.from_arrays(columns, ["_m", "_c", "_doc", "_print", "_at", "_n", "_off"])
+
+    supers = map_batches(rows, f"_m long, _c long, _doc {kind}, _print long, _at int, _n short, _off short", find)
     again = supers.groupBy("_m").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("_m")
-    shared = cut(supers.join(again, "_m"), "shared")
-    many = (
-        shared.select("_m", "_c").distinct().groupBy("_m").agg(F.count(F.lit(1)).alias("_kinds")).filter(F.col("_kinds") > SLOT_ROWS)
-        .select("_m", F.ceil(F.col("_kinds") * (cutting.length - cutting.gram + 1) / SLOT_ROWS).cast("int").alias("_slots"))
-    )
-    return (
-        shared.join(many, "_m", "left").groupBy("_doc", "_print")
-        .agg(F.collect_list(F.struct("_at", "_n", "_off", "_m", F.coalesce("_slots", F.lit(0)).alias("_slots"))).alias("_supers"))
-    )
+    return cut(supers.join(again, "_m"), "shared")
 
 
-def emitted(rows: DataFrame, found: DataFrame, cutting: Windows, kind: str, whole: bool) -> DataFrame:
-    """One row per candidate super-k-mer or dealt-out window.
+def different_super_kmers(rows: DataFrame, shared: DataFrame, cutting: Windows) -> DataFrame:
+    """(_m, _slot, _c, _j, _off, _packed, _count): each different super-k-mer once, packed, with its occurrences.
 
-    ``whole``: (_m, _slot, _off, _packed), else where it is: (_m, _dig, _doc, _print, _at).
+    It is packed from the text in which it comes first.  Minimisers with more than SLOT_ROWS
+    different super-k-mers come window by window (_j: which one) with a slot over 0.
     """
-
-    def pack(batch):
-        raw, lists = raw_texts(batch.column("_text")), batch.column("_supers").to_pylist()
-        out: list[tuple] = []
-        for i, (text, supers) in enumerate(zip(raw, lists)):
-            units = cutting.split(text)
-            for at, n, off, m, slots in {tuple(s.values()) for s in supers}:  # rows of one key find their own list only once
-                pieces = [(at, n, off)] if not slots else [(at + j, 1, off - j) for j in range(n)]
-                for start, windows, offset in pieces:
-                    packed = cutting.join(units[start : start + windows + cutting.length - 1])
-                    if whole:
-                        out.append((m, 1 + zlib.crc32(packed) % slots if slots else 0, offset, packed))
-                    else:
-                        out.append((m, digest(packed), i, start))
-            if len(out) > 4000:
-                yield batch_of(batch, out)
-                out = []
-        if out:
-            yield batch_of(batch, out)
-
-    def batch_of(batch, out):
-        columns = list(zip(*out))
-        if whole:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())],
-                ["_m", "_slot", "_off", "_packed"],
-            )
-        pick = pa.array(columns[2], pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), batch.column("_doc").take(pick), batch.column("_print").take(pick), pa.array(columns[3], pa.int32())],
-            ["_m", "_dig", "_doc", "_print", "_at"],
-        )
-
-    schema = "_m long, _slot int, _off int, _packed binary" if whole else f"_m long, _dig binary, _doc {kind}, _print long, _at int"
-    return map_batches(same_text(rows, found, "inner"), schema, pack)
+    place = F.struct(F.col("_doc").alias("d"), F.col("_print").alias("p"), F.col("_at").alias("a"))
+    kinds = shared.groupBy("_m", "_c").agg(F.min(place).alias("_first"), F.min("_n").alias("_n"), F.min("_off").alias("_off"), F.count(F.lit(1)).alias("_count"))
+    width = cutting.length - cutting.gram + 1
+    many = (
+        kinds.groupBy("_m").agg(F.count(F.lit(1)).alias("_kinds")).filter(F.col("_kinds") > SLOT_ROWS)
+        .select("_m", F.ceil(F.col("_kinds") * width / SLOT_ROWS).cast("int").alias("_slots"))
+    )
+    listed = F.collect_list(F.struct("_m", "_c", "_first.a", "_n", "_off", "_count", F.coalesce("_slots", F.lit(0)).alias("s")))
+    lists = kinds.join(many, "_m", "left").groupBy(F.col("_first.d").alias("_doc"), F.col("_first.p").alias("_print")).agg(listed.alias("_supers"))
+
+    def pack(batches):
+        last = None
+        for batch in batches:
+            out: list[tuple] = []
+            keys = zip(*[batch.column(c).to_pylist() for c in ("_doc", "_print")])
+            for key, text, supers in zip(keys, raw_texts(batch.column("_text")), batch.column("_supers").to_pylist()):
+                if key == last:  # rows that repeat id and text follow each other; one is enough to pack from
+                    continue
+                last, units = key, cutting.split(text)
+                for m, c, at, n, off, count, slots in (s.values() for s in supers):
+                    for j in range(n if slots else 1):
+                        packed = cutting.join(units[at + j : at + (j + 1 if slots else n) + cutting.length - 1])
+                        out.append((m, 1 + zlib.crc32(packed) % slots if slots else 0, c, j, off - j, packed, count))
+                if len(out) > 4000:
+                    yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
+
+    def batch_of(out):
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["_m", "_slot", "_c", "_j", "_off", "_packed", "_count"])
+
+    schema = "_m long, _slot int, _c long, _j int, _off int, _packed binary, _count long"
+    return same_text(rows, lists, "inner").mapInArrow(pack, schema)
 
 
 def same_text(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -227,7 +214,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
     now, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            key = tuple(row[k] for k in keys)
+            key = tuple([row[k] for k in keys])
             if key != now and rows:
                 yield now, rows
                 rows = []
@@ -240,15 +227,14 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
 def covered(docs: DataFrame, cutting: Windows, resolve: Callable[[DataFrame], DataFrame], doc_id: str, text: str) -> tuple[DataFrame, str]:
     """Every row of ``docs`` as (_doc, _print, _text, _spans): unit ranges [f, t) of repeated windows, or null.
 
-    ``resolve`` takes the different super-k-mers (_m, _slot, _off, _packed, _count), bucketed as it
-    likes, and returns (_m, _dig, _f, _t): ranges of window offsets in them that occur twice or more.
+    ``resolve`` takes ``different_super_kmers``, bucketed as it likes, and returns (_m, _c, _f, _t):
+    ranges of window offsets in them that occur twice or more.
     """
     rows, kind = keyed(docs, doc_id, text), docs.schema[doc_id].dataType.simpleString()
-    found = candidates(rows, cutting, kind)
-    different = emitted(rows, found, cutting, kind, True).groupBy("_m", "_slot", "_off", "_packed").agg(F.count(F.lit(1)).alias("_count"))
-    repeated = resolve(different)
+    shared = shared_super_kmers(rows, cutting, kind)
+    repeated = resolve(different_super_kmers(rows, shared, cutting))
     spans = (
-        emitted(rows, found, cutting, kind, False).join(repeated, ["_m", "_dig"])
+        shared.select("_m", "_c", "_doc", "_print", "_at").join(repeated, ["_m", "_c"])
         .groupBy("_doc", "_print")
         .agg(F.collect_set(F.struct((F.col("_at") + F.col("_f")).alias("f"), (F.col("_at") + F.col("_t") + cutting.length - 1).alias("t"))).alias("_spans"))
     )
