@@ -9,7 +9,7 @@ POST_TIME_PATTERN = "MMM dd HH:mm:ss Z yyyy"
 
 def parse_post_time(text: Column) -> Column:
     """'Sun Jul 17 11:27:28 +0000 2022' -> timestamp; Spark 3+ refuses to parse the weekday."""
-    return F.to_timestamp(F.substring(text, 5, 64), POST_TIME_PATTERN)
+    return F.to_timestamp(F.regexp_replace(text, "^[A-Za-z]{3} ", ""), POST_TIME_PATTERN)
 
 
 def monday_week_label(ts: Column) -> Column:

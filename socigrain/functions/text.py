@@ -74,8 +74,16 @@ def topic_flag(text: Column, include: Sequence[str], exclude: Sequence[str] = ()
     return contains_any(low, include) & ~contains_any(low, exclude)
 
 
-def natural_sort_key(text: Column, width: int = 20) -> Column:
-    """Sort key in which digit runs compare as numbers of up to ``width`` digits."""
+def natural_sort_key(text: Column) -> Column:
+    """Sort key in which digit runs compare as numbers of any length.
+
+    A run becomes its number of digits (as ten digits), then the digits without leading zeros.
+    """
     parts = F.regexp_extract_all(F.lower(text), F.lit(r"(\d+|\D+)"), 1)
-    padded = F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, width, "0")).otherwise(p))
+    padded = F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), _sized(p)).otherwise(p))
     return F.array_join(padded, "")
+
+
+def _sized(digits: Column) -> Column:
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.concat(F.lpad(F.length(short).cast("string"), 10, "0"), short)

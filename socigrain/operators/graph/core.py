@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.numbers import correlation
 from ...session import cut
-from ..skew import HOT_ROWS, hot_keys, number_rows
+from ..skew import HOT_ROWS, hot_keys, lookup_join, number_rows
 
 ONE_GRAPH = "all"
 
@@ -70,23 +71,24 @@ def network(
 class ArcTable:
     """Arcs cut in slices by source degree, so that a hub's arcs are spread over tasks.
 
-    Only the few heaviest sources are sliced; their identity is a table of at most
-    ``MAX_HOT_KEYS`` rows.
+    Every source is cut by the same rule, one slice per ``slice_rows`` arcs.  Arcs are dealt out by
+    (source, slice) once and kept on disk that way: each round only moves the state.
     """
 
     def __init__(self, arcs: DataFrame, slice_rows: int = HOT_ROWS):
         self.keys = ["graph_id", "src"]
         self.hot = cut(hot_keys(arcs, self.keys, slice_rows))
-        sliced = arcs.join(F.broadcast(self.hot), self.keys, "left")
+        sliced = lookup_join(arcs, self.hot, self.keys)
         sliced = sliced.withColumn(
             "_slice", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
         ).drop("_salts")
-        self.arcs = cut(sliced.repartition(*self.keys, "_slice"))
+        count = int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.arcs = sliced.repartition(count, *self.keys, "_slice").persist(StorageLevel.DISK_ONLY)
 
     def send(self, state: DataFrame, key: str = "id") -> DataFrame:
         """Every arc with the state of its source; ``key`` names the vertex column of the state."""
         s = state.withColumnRenamed(key, "src") if key != "src" else state
-        copies = s.join(F.broadcast(self.hot), self.keys, "left")
+        copies = lookup_join(s, self.hot, self.keys)
         copies = copies.withColumn(
             "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
         ).drop("_salts")
@@ -99,8 +101,8 @@ class GraphTotals:
     def __init__(self, vertices: DataFrame, slice_rows: int = HOT_ROWS):
         sizes = vertices.groupBy("graph_id").agg(F.count(F.lit(1)).alias("n"))
         self.sizes = cut(sizes.withColumn("_gslices", F.ceil(F.col("n") / F.lit(slice_rows)).cast("int")))
-        hot = F.broadcast(hot_keys(vertices, ["graph_id"], slice_rows))
-        sliced = vertices.join(hot, "graph_id", "left").withColumn(
+        hot = hot_keys(vertices, ["graph_id"], slice_rows)
+        sliced = lookup_join(vertices, hot, "graph_id").withColumn(
             "_gslice", F.coalesce(F.pmod(F.xxhash64("id"), F.col("_salts")), F.lit(0)).cast("int")
         ).drop("_salts")
         self.vertices = cut(self.attach(sliced, self.sizes.select("graph_id", "n"), hot))
@@ -187,10 +189,9 @@ def degree_heterogeneity(net: Network) -> DataFrame:
 def degree_assortativity(net: Network) -> DataFrame:
     """Pearson correlation of the degrees at both ends over both edge directions."""
     d = degrees(net).select("graph_id", F.col("id"), F.col("degree").cast("double").alias("degree"))
-    table = ArcTable(net.undirected().arcs())
-    with_src = table.send(d.withColumnRenamed("degree", "src_degree"))
-    back = with_src.select("graph_id", F.col("dst").alias("src"), F.col("src").alias("dst"), "src_degree")
-    both = ArcTable(back).send(d.withColumnRenamed("degree", "dst_degree"))
+    arcs = net.undirected().arcs()
+    with_src = lookup_join(arcs, d.select("graph_id", F.col("id").alias("src"), F.col("degree").alias("src_degree")), ["graph_id", "src"], "inner")
+    both = lookup_join(with_src, d.select("graph_id", F.col("id").alias("dst"), F.col("degree").alias("dst_degree")), ["graph_id", "dst"], "inner")
     return both.groupBy("graph_id").agg(correlation(F.col("src_degree"), F.col("dst_degree")).alias("degree_assortativity"))
 
 

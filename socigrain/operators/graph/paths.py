@@ -121,6 +121,8 @@ class PathDag:
         """``sources``: (graph_id, id)."""
         step = F.col("weight") if weighted else F.lit(1.0)
         key = ["graph_id", "s", "v"]
+        if weighted and not table.arcs.filter("weight <= 0 OR weight IS NULL").isEmpty():
+            raise ValueError("shortest paths need weights over 0")
         dist = sources.select("graph_id", F.col("id").alias("s"), F.col("id").alias("v"), F.lit(0.0).alias("d"))
         dist = cut(dist.withColumn("fresh", F.lit(True)))
         while True:

@@ -11,21 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# The heaviest keys that get salted.  Any key outside this list has at most
-# rows / MAX_HOT_KEYS rows, so the rest of the join is balanced by construction.
-MAX_HOT_KEYS = 4096
 # Rows of one key that a single task may take before the key is split.
 HOT_ROWS = 500_000
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``on`` columns plus ``_salts``: in how many slices each heavy key is to be split."""
+    """``on`` columns plus ``_salts``: in how many slices each key of more than ``hot_rows`` rows is split."""
     return (
         df.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *on)
-        .limit(MAX_HOT_KEYS)
         .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
     )
 

@@ -230,10 +230,10 @@ def bag_vectors(bag: DataFrame, key: str, vocabulary_size: int) -> DataFrame:
 
 
 def fit_topics(vectors: DataFrame, k: int = 10, passes: int = 10, seed: int = 7):
-    """Online LDA of ``pyspark.ml``."""
+    """Online LDA of ``pyspark.ml``; each of the ``passes`` reads the whole corpus."""
     from pyspark.ml.clustering import LDA
 
-    return LDA(k=k, maxIter=passes, optimizer="online", seed=seed, featuresCol="features").fit(vectors)
+    return LDA(k=k, maxIter=passes, optimizer="online", subsamplingRate=1.0, seed=seed, featuresCol="features").fit(vectors)
 
 
 def describe_topics(model, words: DataFrame, terms: int = 10) -> DataFrame:

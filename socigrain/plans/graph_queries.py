@@ -31,7 +31,7 @@ def tag_graphs(spark, sf):
 def chains(spark, sf):
     """Conversation turns linked to the turn before: many components."""
     t = ad.table(spark, sf, "conversations").select("conv_id", "turn")
-    node = lambda turn: F.col("conv_id") * 1000 + turn
+    node = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     e = t.filter("turn > 0").select(node(F.col("turn")).alias("src"), node(F.col("turn") - 1).alias("dst"))
     return C.network(e, t.select(node(F.col("turn")).alias("id")), directed=False)
 
@@ -49,9 +49,9 @@ vx AS (SELECT g, s AS v FROM ar UNION SELECT g, t FROM ar), nn AS (SELECT g, cou
 TE = """ar AS (SELECT DISTINCT tag AS g, src AS s, dst AS t, 1.0::DOUBLE AS w FROM (
   SELECT unnest(all_tags) AS tag, 'user_' || repost_of_user_id AS src, screen_name AS dst FROM flat WHERE is_repost) WHERE src <> dst),
 vx AS (SELECT g, s AS v FROM ar UNION SELECT g, t FROM ar), nn AS (SELECT g, count(*) AS n FROM vx GROUP BY g)"""
-CH = """ue AS (SELECT 'all' AS g, conv_id * 1000 + turn - 1 AS a, conv_id * 1000 + turn AS b, 1.0::DOUBLE AS w FROM conversations WHERE turn > 0),
+CH = """ue AS (SELECT 'all' AS g, conv_id || ':' || (turn - 1) AS a, conv_id || ':' || turn AS b, 1.0::DOUBLE AS w FROM conversations WHERE turn > 0),
 ar AS (SELECT g, a AS s, b AS t, w FROM ue UNION ALL SELECT g, b, a, w FROM ue),
-vx AS (SELECT 'all' AS g, conv_id * 1000 + turn AS v FROM conversations), nn AS (SELECT g, count(*) AS n FROM vx GROUP BY g)"""
+vx AS (SELECT 'all' AS g, conv_id || ':' || turn AS v FROM conversations), nn AS (SELECT g, count(*) AS n FROM vx GROUP BY g)"""
 
 
 def users_sql(select, *more):
@@ -137,7 +137,7 @@ def _(spark, sf):
 
 
 # ------------------------------------------------------------------ G06-G09, G16: components and paths
-COMP = "cc AS (SELECT conv_id * 1000 + turn AS v, min(conv_id * 1000 + turn) OVER (PARTITION BY conv_id) AS c FROM conversations)"
+COMP = "cc AS (SELECT conv_id || ':' || turn AS v, min(conv_id || ':' || turn) OVER (PARTITION BY conv_id) AS c FROM conversations)"
 
 
 @query("G06_connected_components", sql(COMP, select="SELECT 'all' AS graph_id, v AS id, c AS component FROM cc"))
@@ -350,14 +350,14 @@ def pagerank_sql(rounds, alpha=0.85):
     return ",\n".join(parts)
 
 
-@query("G24_pagerank", directed_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p20", pagerank_sql(20)))
+@query("G24_pagerank", directed_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p28", pagerank_sql(28)))
 def _(spark, sf):
-    return rounded(RK.pagerank(users(spark, sf, True).checkpointed(), max_iter=20, fixed=True), "rank")
+    return rounded(RK.pagerank(users(spark, sf, True).checkpointed(), tol=1e-12), "rank")
 
 
-@query("G24_pagerank_by_tag", tags_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p12", pagerank_sql(12)))
+@query("G24_pagerank_by_tag", tags_sql("SELECT g AS graph_id, v AS id, round(r, 6) AS rank FROM p90", pagerank_sql(90)))
 def _(spark, sf):
-    return rounded(RK.pagerank(tag_graphs(spark, sf).checkpointed(), max_iter=12, fixed=True), "rank")
+    return rounded(RK.pagerank(tag_graphs(spark, sf).checkpointed(), tol=1e-12), "rank")
 
 
 def eigen_sql(rounds):
@@ -368,9 +368,9 @@ def eigen_sql(rounds):
     return ",\n".join(parts)
 
 
-@query("G25_eigenvector", users_sql("SELECT g AS graph_id, v AS id, round(x, 6) AS centrality FROM e10", eigen_sql(10)))
+@query("G25_eigenvector", users_sql("SELECT g AS graph_id, v AS id, round(x, 6) AS centrality FROM e60", eigen_sql(60)))
 def _(spark, sf):
-    return rounded(RK.eigenvector(users(spark, sf).checkpointed(), max_iter=10, fixed=True), "centrality")
+    return rounded(RK.eigenvector(users(spark, sf).checkpointed(), tol=1e-12), "centrality")
 
 
 # ------------------------------------------------------------------ G29-G32: reports

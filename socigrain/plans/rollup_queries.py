@@ -79,11 +79,15 @@ def _(spark, sf):
 
 
 @query("J06_name_or_id", sql(FLAT, ACCOUNTS, select="""
-  SELECT f.id, coalesce(a.screen_name, CAST(f.reply_to_id AS VARCHAR)) AS reply_name
-  FROM flat f LEFT JOIN accounts a ON a.user_id = f.reply_to_id WHERE f.is_reply"""))
+  SELECT f.id, CASE WHEN is_reply THEN 'reply' ELSE 'repost' END AS kind, coalesce(a.screen_name, CAST(f.target AS VARCHAR)) AS target_name
+  FROM (SELECT id, is_reply, CASE WHEN is_reply THEN reply_to_user_id ELSE repost_of_user_id END AS target FROM flat WHERE is_reply OR is_repost) f
+  LEFT JOIN accounts a ON a.user_id = f.target AND NOT a.protected"""))
 def _(spark, sf):
-    replies = ad.flat(spark, sf).filter("is_reply").select("id", "reply_to_id")
-    return R.name_or_id(replies, ad.accounts(spark, sf), "reply_to_id", "reply_name").select("id", "reply_name")
+    """Accounts that replies and reposts go to; a protected account's name is unknown."""
+    flat = ad.flat(spark, sf).filter("is_reply OR is_repost")
+    target = F.when(F.col("is_reply"), F.col("reply_to_user_id")).otherwise(F.col("repost_of_user_id"))
+    aimed = flat.select("id", F.when(F.col("is_reply"), "reply").otherwise("repost").alias("kind"), target.alias("target"))
+    return R.name_or_id(aimed, ad.accounts(spark, sf).filter("NOT protected"), "target", "target_name").select("id", "kind", "target_name")
 
 
 @query("J07_validated_one_to_many", "SELECT c_custkey, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey")
@@ -516,6 +520,7 @@ def _(spark, sf):
     return number_rows(s, [], ["key"], F.substring("key", 1, 20), "place").select("s_suppkey", "place")
 
 
-@query("O05_sample", None)
+@query("O05_sample", sql(FLAT, select="SELECT id, user_id, week_name FROM flat ORDER BY md5(CAST(id AS VARCHAR) || ':7'), id LIMIT 7"))
 def _(spark, sf):
-    return ad.flat(spark, sf).select("id", "user_id", "week_name").orderBy(F.rand(7)).limit(7)
+    seeded = F.md5(F.concat(F.col("id").cast("string"), F.lit(":7")))  # the same rows however they are dealt out
+    return ad.flat(spark, sf).select("id", "user_id", "week_name").orderBy(seeded, "id").limit(7)

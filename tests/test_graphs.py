@@ -2,7 +2,7 @@
 
 import pytest
 
-from socigrain.operators.graph import community as CM, components as CP, core as C, paths as PA, rank as RK, triangles as TRI
+from socigrain.operators.graph import community as CM, components as CP, core as C, paths as PA, rank as RK, stars, triangles as TRI
 
 K4 = [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]
 GRAPHS = {
@@ -28,12 +28,15 @@ def by_node(df, value):
     return {(r["graph_id"], r["id"]): r[value] for r in df.collect()}
 
 
-def test_components(spark, net):
+def test_components(spark, net, monkeypatch):
     comp = by_node(CP.connected_components(net), "component")
     assert comp["split", 2] == 1 and comp["split", 4] == 3
     assert {comp["path", i] for i in range(1, 6)} == {1}
-    long = build(spark, {"long": [(i, i + 1) for i in range(1, 60)]})
+    long = build(spark, {"long": [(i, i + 1) for i in range(1, 10_000)]})
+    rounds, store = [], stars.cut
+    monkeypatch.setattr(stars, "cut", lambda *a: rounds.append(1) or store(*a))
     assert CP.connected_components(long).select("component").distinct().count() == 1
+    assert len(rounds) <= 20
 
 
 def test_hops_and_summary(net):
@@ -122,5 +125,13 @@ def test_communities(spark, net):
     bounds = CM.modularity_bounds(two, labels).first()
     assert bounds["modularity"] == pytest.approx(12 / 13 - 0.5) and bounds["q_max"] == 0.5 and bounds["relative"] == 0.846
     assert CM.average_within_degree(two, labels).first()["avg_within_degree"] == pytest.approx(3.0)
-    split = by_node(CM.girvan_newman(two, 1), "split_1")
+    three = C.Network(net.vertices.filter("graph_id IN ('cliques', 'path')"), net.edges.filter("graph_id IN ('cliques', 'path')"), False)
+    split = by_node(CM.girvan_newman(three, 1), "split_1")
     assert split["cliques", 1] == 1 and split["cliques", 8] == 5
+    assert split["path", 1] != split["path", 5]  # every graph is split by itself
+
+
+def test_zero_weights_are_refused(spark):
+    zero = build(spark, {"z": [(1, 2), (2, 3), (1, 3)]}, weights={(1, 2): 0.0})
+    with pytest.raises(ValueError):
+        PA.betweenness(zero, weighted=True)

@@ -150,3 +150,6 @@ def test_scalars(spark):
     assert flags == [True, False, False]
     keys = spark.createDataFrame([("fly10",), ("fly9",), ("fly1",)], "n string").orderBy(T.natural_sort_key(F.col("n")))
     assert [r[0] for r in keys.collect()] == ["fly1", "fly9", "fly10"]
+    wide = ["fly" + "9" * 20, "fly1" + "0" * 20, "fly1" + "0" * 19 + "1"]
+    found = spark.createDataFrame([(x,) for x in wide], "n string").orderBy(T.natural_sort_key(F.col("n"))).collect()
+    assert [r[0] for r in found] == [wide[0], *sorted(wide[1:])]
