@@ -304,20 +304,22 @@ def R04(spark, sf):
 @query("R01_load_population", sql(EV, TRAJ, select="SELECT CAST(entity AS VARCHAR) AS entity, frame, round_even(pos_x, 0) AS pos_x, round_even(pos_y, 0) AS pos_y FROM traj"))
 def _(spark, sf):
     from ..session import scratch_path
-    from ..sources.readers import population_from
+    from ..sources.readers import load_population
     path = scratch_path(spark, "population")
     t = ad.trajectories(spark, sf).select(F.col("entity"), F.col("frame"), F.col("pos_x").alias("pos x"), F.col("pos_y").alias("pos y"))
     t.write.partitionBy("entity").option("header", True).csv(path)
-    return population_from(spark.read.option("header", True).csv(path).withColumn("entity", F.col("entity").cast("string")))
+    return load_population(spark, path)
 
 
-@query("R02_check_columns")
+@query("R02_check_columns", "SELECT true AS ok, false AS ok_if_swapped")
 def _(spark, sf):
     from ..session import scratch_path
     from ..sources.readers import check_columns
     path = scratch_path(spark, "population")
     ad.trajectories(spark, sf).select("frame", "pos_x", "pos_y", "entity").write.partitionBy("entity").option("header", True).csv(path)
-    return check_columns(spark, path, ["frame", "pos_x", "pos_y"])
+    right, swapped = check_columns(spark, path, ["frame", "pos_x", "pos_y"]), check_columns(spark, path, ["frame", "pos_y", "pos_x"])
+    joined = right.join(swapped.withColumnRenamed("ok", "ok_if_swapped"), "file")
+    return joined.agg(F.bool_and("ok").alias("ok"), F.bool_or("ok_if_swapped").alias("ok_if_swapped"))
 
 
 @query("R03_coordinates_union", sql(EV, TRAJ, select="SELECT pos_x, pos_y FROM traj WHERE pos_x IS NOT NULL AND pos_y IS NOT NULL"))

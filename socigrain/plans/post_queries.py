@@ -427,11 +427,8 @@ def _(spark, sf):
                    F.array().cast("array<bigint>").alias("followers"))
     lists.select(F.pmod("user_id", F.lit(8)).alias("part"), F.to_json(F.create_map(F.col("user_id").cast("string"), one)).alias("value")
                  ).write.partitionBy("part").text(path)
-    lines = spark.read.text(path)
-    from ..sources.schemas import FOLLOW_LISTS
-    found = lines.select(F.explode(F.from_json("value", FOLLOW_LISTS)).alias("user_id", "l")).select(F.col("user_id").cast("bigint"))
     nodes = ad.accounts(spark, sf).select("user_id")
-    return readers.follow_coverage(nodes, found)
+    return readers.follow_coverage(nodes, readers.scan_follow_lists(spark, path, lines=True))
 
 
 @query("S04_scan_dated_csv", sql(POSTS, select="SELECT id, user_id, full_text, in_repost_cnt, day_name, array_to_string(tags, ' ') AS tags FROM posts"))
@@ -449,8 +446,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "ids")
     ad.table(spark, sf, "customer").select(F.to_json(F.array("c_custkey")).alias("value")).write.text(path)
-    lines = spark.read.text(path)
-    listed = lines.select(F.explode(F.from_json("value", "array<bigint>")).alias("user_id"))
+    listed = readers.read_ids(spark, path, lines=True)
     return listed.unionByName(readers.read_ids(spark, path + "-absent"))
 
 

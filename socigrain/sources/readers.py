@@ -20,9 +20,13 @@ def scan_accounts_json(spark: SparkSession, path: str, multiline: bool = True) -
         "recursiveFileLookup", True).json(path)
 
 
-def scan_follow_lists(spark: SparkSession, path: str) -> DataFrame:
-    """Files with one object ``{user id: {friends, followers, ...}}`` -> one row per user."""
-    docs = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+def scan_follow_lists(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Files with one object ``{user id: {friends, followers, ...}}`` -> one row per user.
+
+    ``lines``: every line holds such an object; large inputs want this form, since a file that is
+    one object is one row of one task.
+    """
+    docs = spark.read.text(path, wholetext=not lines, recursiveFileLookup=True)
     entries = docs.select(F.explode(F.from_json("value", FOLLOW_LISTS)).alias("user_id", "lists"))
     return entries.select(F.col("user_id").cast("bigint").alias("user_id"), "lists.*")
 
@@ -50,11 +54,14 @@ def scan_dated_csv(spark: SparkSession, root: str, schema: str, lists: dict[str,
     return df.withColumns({c: revive_list(F.col(c), t) for c, t in (lists or {}).items()})
 
 
-def read_ids(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
-    """A JSON list of ids, or one key of each item of a JSON list; an absent file is empty."""
+def read_ids(spark: SparkSession, path: str, column: str | None = None, lines: bool = False) -> DataFrame:
+    """A JSON list of ids, or one key of each item of a JSON list; an absent file is empty.
+
+    ``lines``: every line holds a list, for large inputs.
+    """
     item = "bigint" if column is None else f"struct<`{column}`:bigint>"
     try:
-        docs = spark.read.text(path, wholetext=True)
+        docs = spark.read.text(path, wholetext=not lines)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -75,9 +82,12 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_population(spark: SparkSession, folder: str) -> DataFrame:
-    """Folder of per-individual CSVs (frame, pos x, pos y) -> (entity, frame, pos_x, pos_y), rounded."""
+    """Folder of per-individual CSVs (frame, pos x, pos y) -> (entity, frame, pos_x, pos_y), rounded.
+
+    The individual is the file's name, or its ``entity=`` folder where files lie in such.
+    """
     raw = spark.read.options(header=True).csv(folder)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
+    name = F.col("entity").cast("string") if "entity" in raw.columns else F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
     return population_from(raw.withColumn("entity", name))
 
 
@@ -93,7 +103,7 @@ def population_from(raw: DataFrame) -> DataFrame:
 
 
 def check_columns(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
-    """(file, ok): does each CSV's header equal the expected columns, in order?  Reads header lines only."""
+    """(file, ok): does each CSV's header equal the expected columns, in order?  Compares the first line of every file."""
     lines = spark.read.text(folder, recursiveFileLookup=True).select(
         F.input_file_name().alias("file"), "value", F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("_i"),
