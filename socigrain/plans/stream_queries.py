@@ -48,9 +48,11 @@ def _(spark, sf):
         rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
     query_ = (
-        INC.tag_day_stream(stream).writeStream.outputMode("complete").foreachBatch(keep)
+        INC.tag_day_stream(stream).writeStream.outputMode("update").foreachBatch(keep)
         .option("checkpointLocation", f"{out}-progress").trigger(availableNow=True).start()
     )
     query_.awaitTermination()
     rows = spark.read.parquet(out)
-    return rows.filter(F.col("batch") == rows.select(F.max("batch")).scalar()).drop("batch")
+    # a batch writes the groups it changed; the last one written counts
+    last = rows.groupBy("day_name", "tag").agg(F.max_by(F.struct("tag_cnt", "favourite_cnt"), "batch").alias("v"))
+    return last.select("day_name", "tag", "v.*")

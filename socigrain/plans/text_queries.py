@@ -112,7 +112,7 @@ BI, TRI = (5, 5.0), (3, 10.0)
 
 @query("T06_phrases_fit", sql(TOKENS, fit_sql("words", "ph", *BI), select="SELECT a, b, n, round(score, 4) AS score FROM ph"))
 def _(spark, sf):
-    return rounded(TX.phrases_fit(docs(spark, sf), "tokens", *BI).drop("link"), "score", digits=4)
+    return rounded(TX.phrases_fit(cut(docs(spark, sf)), "tokens", *BI).drop("link"), "score", digits=4)
 
 
 @query("T07_phrases_apply", sql(TOKENS, fit_sql("words", "ph", *BI), apply_sql("words", "ph", "bg"), select="""

@@ -28,7 +28,8 @@ class MarkedTable:
     """A table of accepted posts with high-water marks, written one micro-batch after the other.
 
     Each batch has its own folder named by its number, so a batch that is run again after a
-    failure replaces what its first run wrote; marks are versioned by batch in the same way.
+    failure replaces what its first run wrote.  A batch writes the marks that it may have moved
+    only; a user's mark is the largest one written so far.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -37,14 +38,15 @@ class MarkedTable:
     def _marks_before(self, batch: int) -> DataFrame:
         if batch == 0:
             return self.spark.createDataFrame([], "user_id bigint, max_id bigint")
-        return self.spark.read.parquet(f"{self.root}/marks/batch={batch - 1}")
+        return self.marks(batch - 1)
 
     def accept(self, batch_rows: DataFrame, batch: int) -> None:
         marks = self._marks_before(batch)
         fresh = newer_than_marks(batch_rows, marks)
         fresh.write.mode("overwrite").parquet(f"{self.root}/posts/batch={batch}")
         stored = self.spark.read.schema(batch_rows.schema).parquet(f"{self.root}/posts/batch={batch}")
-        advance_marks(marks, stored).write.mode("overwrite").parquet(f"{self.root}/marks/batch={batch}")
+        none = self.spark.createDataFrame([], "user_id bigint, max_id bigint")
+        advance_marks(none, stored).write.mode("overwrite").parquet(f"{self.root}/marks/batch={batch}")
 
     def run(self, stream: DataFrame) -> int:
         """Drain what has arrived; returns the number of the last batch."""
@@ -62,7 +64,8 @@ class MarkedTable:
         return self.spark.read.parquet(f"{self.root}/posts").drop("batch")
 
     def marks(self, last_batch: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/marks/batch={last_batch}")
+        written = self.spark.read.parquet(f"{self.root}/marks").filter(F.col("batch") <= last_batch)
+        return written.groupBy("user_id").agg(F.max("max_id").alias("max_id"))
 
 
 def arriving_parquet(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
