@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontamination, line_dedup, lm_score, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, decontamination, line_dedup, lm_score, quality, secrets, simhash, sql, substring_dedup, suffix_dedup, token_files
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,43 +35,40 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf, "documents"))
 
 
-QUERIES.update(op1_substring_dedup=op1_substring_dedup)
 def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Texts without the bytes of 200-byte strings that occur twice or more."""
     return suffix_dedup.digests(table(spark, sf, "documents"))
 
 
-QUERIES.update(op3_suffix_dedup=op3_suffix_dedup)
 def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets of every text: the base patterns and strings that pass for random."""
     return secrets.digests(table(spark, sf, "documents"))
 
 
-QUERIES.update(op4_secret_scan=op4_secret_scan)
 def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every text, written to Huffman-coded files and read back."""
     docs = table(spark, sf, "documents")
     return token_files.digests(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "token-files"))
 
 
-QUERIES.update(op8_token_files=op8_token_files)
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and where it is."""
     return decontamination.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-QUERIES.update(op10_decontamination=op10_decontamination)
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Texts without lines that repeat an earlier line, up to one word."""
     return line_dedup.digests(table(spark, sf, "documents"))
 
 
-QUERIES.update(op9_line_dedup=op9_line_dedup)
 def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     """Every text scored by a bigram trie that nine tenths of the documents train."""
     return lm_score.score(table(spark, sf, "documents"))
 
 
-QUERIES.update(op2_lm_score=op2_lm_score)
-QUERIES.update(op7_simhash=op7_simhash)
-QUERIES.update(op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules)
+QUERIES.update(
+    op1_substring_dedup=op1_substring_dedup, op2_lm_score=op2_lm_score, op3_suffix_dedup=op3_suffix_dedup, op4_secret_scan=op4_secret_scan,
+    op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules, op7_simhash=op7_simhash, op8_token_files=op8_token_files,
+    op9_line_dedup=op9_line_dedup, op10_decontamination=op10_decontamination,
+)
+SQL.update(op1_substring_dedup=sql.SUBSTRING_DEDUP, op9_line_dedup=sql.LINE_DEDUP)
