@@ -71,4 +71,4 @@ QUERIES.update(
     op5_byte_bpe=op5_byte_bpe, op6_quality_rules=op6_quality_rules, op7_simhash=op7_simhash, op8_token_files=op8_token_files,
     op9_line_dedup=op9_line_dedup, op10_decontamination=op10_decontamination,
 )
-SQL.update(op1_substring_dedup=sql.SUBSTRING_DEDUP, op9_line_dedup=sql.LINE_DEDUP)
+SQL.update(op1_substring_dedup=sql.SUBSTRING_DEDUP, op9_line_dedup=sql.LINE_DEDUP, op10_decontamination=sql.DECONTAMINATION)

@@ -29,3 +29,20 @@ gone AS (SELECT t.doc_id, t.n FROM t JOIN f ON f.s = t.s LEFT JOIN near ON near.
 kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.n) AS k FROM l ANTI JOIN gone ON gone.doc_id = l.doc_id AND gone.n = l.n GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(g.c, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN (SELECT doc_id, count(*) AS c FROM gone GROUP BY 1) g ON g.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+DECONTAMINATION = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM benchmark),
+it AS (SELECT item_id, ws, len(ws) AS n, len(ws) - 4 AS m FROM iw WHERE len(ws) >= 5),
+ip AS (SELECT item_id, n, m, ws, unnest(range(1, m + 1)) AS i FROM it),
+ig AS (SELECT item_id, n, m, array_to_string(ws[i:i + 4], ' ') AS s, count(*) AS c FROM ip GROUP BY 1, 2, 3, 4),
+dp AS (SELECT doc_id, ws, len(ws) AS nd, unnest(range(1, greatest(len(ws) - 3, 1))) AS p FROM dw),
+dg AS (SELECT doc_id, nd, p, array_to_string(ws[p:p + 4], ' ') AS s FROM dp),
+hit AS (SELECT doc_id, item_id, least(n, nd) AS size, nd, m, p FROM dg JOIN ig USING (s)),
+able AS (SELECT doc_id, item_id FROM hit GROUP BY doc_id, item_id, m HAVING count(*) >= 0.8 * m),
+win AS (SELECT DISTINCT doc_id, item_id, size, m, unnest(range(greatest(1, p - size + 5), least(p, nd - size + 1) + 1)) AS b FROM hit SEMI JOIN able ON able.doc_id = hit.doc_id AND able.item_id = hit.item_id),
+wg AS (SELECT w.doc_id, w.item_id, w.size, w.m, w.b, dg.s, count(*) AS c FROM win w JOIN dg ON dg.doc_id = w.doc_id AND dg.p >= w.b AND dg.p <= w.b + w.size - 5 GROUP BY 1, 2, 3, 4, 5, 6),
+k AS (SELECT wg.doc_id, wg.item_id, wg.size, wg.m, wg.b, sum(least(wg.c, coalesce(ig.c, 0))) AS k FROM wg LEFT JOIN ig ON ig.item_id = wg.item_id AND ig.s = wg.s GROUP BY 1, 2, 3, 4, 5),
+sim AS (SELECT *, CAST(k AS DOUBLE) / CAST(size - 4 + m - k AS DOUBLE) AS similarity FROM k),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, b) AS rn FROM sim WHERE similarity >= 0.8)
+SELECT doc_id, item_id, CAST(b - 1 AS BIGINT) AS start, CAST(size AS BIGINT) AS n_words, similarity FROM best WHERE rn = 1"""
