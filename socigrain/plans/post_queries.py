@@ -265,6 +265,14 @@ def _(spark, sf):
     return min_degree_filter(ad.reaction_pairs(spark, sf), 75).select("id", "src", "dst")
 
 
+@query("F15_clean_posts_repeated", sql(POSTS, select="SELECT id, user_id, full_text, in_repost_cnt, in_reply_cnt, in_quote_cnt, day_name FROM posts"))
+def _(spark, sf):
+    """Every post landed twice: the clean table has it once, and counts reactions to it once."""
+    raw = ad.raw_posts(spark, sf)
+    clean = P.clean_posts(raw.unionByName(raw), "2024-02-01")
+    return clean.select("id", "user_id", "full_text", "in_repost_cnt", "in_reply_cnt", "in_quote_cnt", "day_name")
+
+
 @query("F15_dedup_keep_first", sql(ACCOUNTS, select="SELECT user_id, followers_count + 1 AS followers_count, '2024-02-01' AS folder_name FROM accounts"))
 def _(spark, sf):
     return AC.latest_per_account(ad.account_days(spark, sf)).select("user_id", "followers_count", "folder_name")
