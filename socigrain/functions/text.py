@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 # What counts as a link, a mention and a repost marker in a post.
-URL_PATTERN = (
-    r"https?://[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_+.~#?&/=]*)"
-)
-MENTION_PATTERN = r"@[A-Za-z0-9_-]+"
+URL_PATTERN = r"https?:\/\/[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_\+.~#?&//=]*)"
+MENTION_PATTERN = r"@[A-Za-z0-9-_]+"
 REPOST_PREFIX_PATTERN = r"^RT\s+@[A-Za-z0-9_-]+:?\s*"
 # gensim's documented simple_preprocess defaults.
 TOKEN_PATTERN = r"(?U)((?:(?!\d)\w)+)"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import text as T
 from ..operators import posts as P
 from ..operators.skew import lookup_join, number_rows
 from ..session import balanced
@@ -180,16 +181,26 @@ def account_days(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Friends in one list row; a user with more has several rows.
+LIST_ROWS = 1000
+
+
 def follow_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Users somebody reacted to, as friend lists cut in slices of a user's friends."""
+    """Users somebody reacted to, as friend lists of at most LIST_ROWS friends a row."""
     pairs = reaction_pairs(spark, sf).select(
         F.col("dst").alias("user_id"), F.col("src").alias("friend")
     ).distinct()
-    return pairs.groupBy("user_id", F.pmod(F.xxhash64("friend"), F.lit(64)).alias("slice")).agg(
+    numbered = number_rows(pairs, ["user_id"], ["friend"], F.floor(F.col("friend") / LIST_ROWS), "place", 0)
+    return numbered.groupBy("user_id", F.floor(F.col("place") / LIST_ROWS).alias("slice")).agg(
         F.sort_array(F.collect_list("friend")).alias("friends")
     ).drop("slice")
 
 
+def strip_sql(column: str) -> str:
+    """SQL for the removal of links and mentions."""
+    return f"regexp_replace(regexp_replace({column}, '{T.URL_PATTERN}', '', 'g'), '{T.MENTION_PATTERN}', '', 'g')"
+
+
 def reaction_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """(src = author of the parent, dst = reacting user, kind) without the nested posts."""
     act = activity(spark, sf)

@@ -331,9 +331,7 @@ def _(spark, sf):
     return ad.accounts(spark, sf).select("user_id", "location", "clean_location")
 
 
-@query("X10_strip_noise", sql(FLAT, select=r"""
-  SELECT id, regexp_replace(regexp_replace(full_text,
-    'https?://[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_+.~#?&/=]*)', '', 'g'), '@[A-Za-z0-9_-]+', '', 'g') AS stripped FROM flat"""))
+@query("X10_strip_noise", sql(FLAT, select=f"SELECT id, {ad.strip_sql('full_text')} AS stripped FROM flat"))
 def _(spark, sf):
     return ad.flat(spark, sf).select("id", T.strip_noise(F.col("full_text")).alias("stripped"))
 

@@ -13,8 +13,7 @@ from .registry import query
 from .rollup_queries import rounded
 
 STOP_WORDS = ["the", "and", "of", "in", "is", "la", "le", "un", "der", "die", "und", "el", "de"]
-TOKENS = r"""tok AS (SELECT doc_id, lang, list_filter(regexp_extract_all(lower(regexp_replace(regexp_replace(text,
-  'https?://[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_+.~#?&/=]*)', '', 'g'), '@[A-Za-z0-9_-]+', '', 'g')),
+TOKENS = "tok AS (SELECT doc_id, lang, list_filter(regexp_extract_all(lower(" + ad.strip_sql("text") + r"""),
   '[\p{L}\p{M}\p{Pc}]+'), lambda t: length(t) BETWEEN 2 AND 15 AND t[1] <> '_') AS all_tokens FROM documents),
 docs AS (SELECT doc_id, lang, list_filter(all_tokens, lambda t: t NOT IN ('""" + "', '".join(STOP_WORDS) + """')) AS tokens FROM tok),
 words AS (SELECT doc_id, lang, unnest(tokens) AS w, unnest(range(0, len(tokens))) AS pos FROM docs)"""
@@ -51,8 +50,7 @@ def _(spark, sf):
     return TX.lang_fallback(unknown, profiles, "doc_id", "text").select("doc_id", F.col("lang").alias("detected"))
 
 
-@query("T02_strip_noise", r"""SELECT doc_id, md5(regexp_replace(regexp_replace(text,
-  'https?://[-a-zA-Z0-9@:%._+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_+.~#?&/=]*)', '', 'g'), '@[A-Za-z0-9_-]+', '', 'g')) AS h FROM documents""")
+@query("T02_strip_noise", f"SELECT doc_id, md5({ad.strip_sql('text')}) AS h FROM documents")
 def _(spark, sf):
     return ad.documents(spark, sf).select("doc_id", F.md5(T.strip_noise(F.col("text"))).alias("h"))
 
