@@ -156,7 +156,8 @@ def shared_super_kmers(rows: DataFrame, cutting: Windows, kind: str) -> DataFram
             yield pa.RecordBatch.from_arrays(columns, ["_m", "_c", "_doc", "_print", "_at", "_n", "_off"])
 
     supers = map_batches(rows, f"_m long, _c long, _doc {kind}, _print long, _at int, _n short, _off short", find)
-    again = supers.groupBy("_m").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("_m")
+    # stored, so that the join below has plain shuffles on both sides and a hot minimiser's can be split
+    again = cut(supers.groupBy("_m").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("_m"), "again")
     return cut(supers.join(again, "_m"), "shared")
 
 
