@@ -13,7 +13,10 @@ counts and the code have at most as many rows as the vocabulary.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,9 @@ from .common import cut, drop_cut, keyed, map_batches, partitions, raw_texts
 MAX_BITS = 20
 BLOCK_IDS, RUN_IDS = 1 << 18, 256
 #: White-space separated strings that a task remembers; beyond it the memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
+#: Punctuation at which the registered query's tokenizer splits: its pattern takes letters, digits and others apart.
+WORD_EDGES = ".,;:!?*#$%&|"
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -126,38 +131,60 @@ def decode_block(payload: bytes, starts: np.ndarray, counts: np.ndarray, table:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
+def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes], dict[str, bytes]]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return Tokenizer.from_file(path), {}
+    return Tokenizer.from_file(path), {}, {}
 
 
-def tokenised(texts: list[bytes], path: str, by_word: bool, kind: str) -> list[bytes]:
+def _packed(tokenizer: Tokenizer, strings: list[str], kind: str) -> list[bytes]:
+    code = "H" if kind == "<u2" else "I"
+    if sys.byteorder != "little":
+        return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+
+def _parts(string: str, edges: str) -> tuple[str, str]:
+    """A string as what ends in a letter and the punctuation after it; whole if it isn't like that."""
+    core = string.rstrip(edges)
+    # normalised and lower-cased, too, it must end in a letter
+    if not edges or not core or not normalize("NFC", core).lower()[-1].isalpha():
+        return string, ""
+    return (core.lower() if core.isascii() else core), string[len(core) :]
+
+
+def tokenised(texts: list[bytes], path: str, by_word: bool, kind: str, edges: str = "") -> list[bytes]:
     """Ids of each text, packed as ``kind``."""
-    tokenizer, known = _tokenizer(path)
-    pack = lambda strings: [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    tokenizer, known, parts = _tokenizer(path)
     if not by_word:
-        return pack([t.decode() for t in texts])
+        return _packed(tokenizer, [t.decode() for t in texts], kind)
     split = [t.split() for t in texts]
-    fresh = list(set().union(*split).difference(known))
+    fresh = set().union(*split).difference(known)
     if len(known) + len(fresh) > REMEMBERED:
         known.clear()
-        fresh = list(set().union(*split))
-    known.update(zip(fresh, pack([w.decode() for w in fresh])))
+        fresh = set().union(*split)
+    if len(parts) > REMEMBERED:
+        parts.clear()
+    pairs = [_parts(w.decode(), edges) for w in fresh]
+    missing = list({p for pair in pairs for p in pair if p not in parts})
+    parts.update(zip(missing, _packed(tokenizer, missing, kind)))
+    known.update((w, parts[core] + parts[tail]) for w, (core, tail) in zip(fresh, pairs))
     return [b"".join([known[w] for w in words]) for words in split]
 
 
-def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, by_word: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, by_word: bool = False, edges: str = "", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(_doc, _print, _ids): ids of each whole text with the end id, packed little-endian.
 
     ``by_word`` promises that the tokenizer drops ASCII white space and joins nothing across it:
-    then what stands between white space is encoded once and remembered.  Null and empty texts
-    have the end id only.  Ids take 2 bytes if the vocabulary allows it, else 4.
+    then what stands between white space is encoded once and remembered.  ``edges`` further
+    promises that it always splits between a letter and these characters and lower-cases ASCII, so
+    that a word is encoded once whatever follows it.  Null and empty texts have the end id only.
+    Ids take 2 bytes if the vocabulary allows it, else 4.
     """
     kind = "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size(True) <= 1 << 16 else "<u4"
     end = b"" if end_id is None else np.array([end_id], kind).tobytes()
 
     def work(batch):
-        coded = [ids + end for ids in tokenised(raw_texts(batch.column("_text")), tokenizer_path, by_word, kind)]
+        coded = [ids + end for ids in tokenised(raw_texts(batch.column("_text")), tokenizer_path, by_word, kind, edges)]
         yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_print"), pa.array(coded, pa.binary())], ["_doc", "_print", "_ids"])
 
     ids = map_batches(keyed(docs, doc_id, text), f"_doc {docs.schema[doc_id].dataType.simpleString()}, _print long, _ids binary", work)
@@ -265,7 +292,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def digests(docs: DataFrame, tokenizer_path: str, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files written below ``path``."""
-    write(token_ids(docs, tokenizer_path, 1, by_word=True), path)
+    write(token_ids(docs, tokenizer_path, 1, by_word=True, edges=WORD_EDGES), path)
     return read(docs.sparkSession, path).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
