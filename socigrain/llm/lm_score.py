@@ -36,7 +36,7 @@ from .superkmer import mixed, word_hashes
 SCALE, POWER = 1.0, 0.1
 ADD = 0.1
 #: Text of a slice; tokens of a context shard; bigrams of one context that stay together.
-SLICE_BYTES, SHARD_BYTES, TOGETHER = 12 << 20, 16 << 20, 1 << 20
+SLICE_BYTES, SHARD_BYTES, TOGETHER = 9 << 20, 12 << 20, 1 << 20
 #: Steps of the quantised log10 probabilities, from 0 down.
 STEP = 1 / 2048
 SAMPLE = 4096
