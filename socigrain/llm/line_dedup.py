@@ -22,19 +22,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, packed
+from .common import cut, text_of
 
 LEAST_WORDS, NEAR_WORDS = 5, 8
 _SPACES = "[\\x20\\x09-\\x0D]+"
 
 
-def _hash(words: Column, seed: int) -> Column:
-    """64-bit hash of a word array's content and length."""
-    return F.xxhash64(F.array_join(words, " "), F.size(words), F.lit(seed))
+def _norm(line: Column) -> Column:
+    """The line's words, joined by one space; most lines are so already, which plain look-ups tell."""
+    other = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
+    for space in "\t\n\x0b\x0c\r":
+        other = other | line.contains(space)
+    return F.when(other, F.trim(F.regexp_replace(line, _SPACES, " "))).otherwise(line)
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _SPACES), lambda w: w != "")
+def _count(norm: Column) -> Column:
+    """Number of words of a normalised line."""
+    return F.when(norm == "", 0).otherwise(F.length(norm) - F.length(F.translate(norm, " ", "")) + 1)
+
+
+def _first(norm: Column, n: Column) -> Column:
+    return F.call_function("substring_index", norm, F.lit(" "), n)
+
+
+def _last(norm: Column, n: Column) -> Column:
+    return F.call_function("substring_index", norm, F.lit(" "), -n)
 
 
 def _place() -> Column:
@@ -43,39 +55,44 @@ def _place() -> Column:
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
-    """(_doc, _print, _no, _words, _h, _g): numbered lines that are long enough, with a 128-bit name."""
-    lines = rows.select("_doc", "_print", F.posexplode(F.split("_text", "\n", -1)).alias("_no", "_line"))
-    worded = lines.select("_doc", "_print", "_no", _words(F.col("_line")).alias("_words")).filter(F.size("_words") >= LEAST_WORDS)
-    return worded.select("*", _hash(F.col("_words"), 1).alias("_h"), _hash(F.col("_words"), 2).alias("_g"))
+    """(_doc, _print, _no, _norm, _n, _h, _g): numbered lines that are long enough, with a 128-bit name."""
+    # normalised inside the array, so that what follows doesn't evaluate the pattern once per use
+    normal = F.transform(F.split("_text", "\n", -1), _norm)
+    lines = rows.select("_doc", "_print", F.posexplode(normal).alias("_no", "_norm")).withColumn("_n", _count(F.col("_norm")))
+    return lines.filter(F.col("_n") >= LEAST_WORDS).select("*", F.xxhash64("_norm", F.lit(1)).alias("_h"), F.xxhash64("_norm", F.lit(2)).alias("_g"))
 
 
-def _ends(words: Column) -> Column:
-    """Keys of a line's two ends as (side, key); a line just over a step of h has those of the step below too."""
-    n = F.size(words)
-    out = []
-    for near, length in ((F.lit(True), n), (n % 8 == 0, n - 1)):
+def _end_keys() -> dict[str, Column]:
+    """Keys of a line's two ends; a line just over a step of h has those of the step below too."""
+    n, norm, keys = F.col("_n"), F.col("_norm"), {}
+    for step, length in enumerate((n, n - 1)):
         h = F.floor(length / 8).cast("int") * 4
-        for side in (0, 1):
-            part = F.slice(words, F.lit(1), h) if side == 0 else F.slice(words, n - h + 1, h)
-            out.append(F.when(near & (n >= NEAR_WORDS) & (h > 0), F.struct(F.lit(side).alias("side"), h.alias("h"), _hash(part, 3 + side).alias("key"))))
-    return F.array_compact(F.array(*out))
+        used = (n >= NEAR_WORDS) & (h > 0) & (F.lit(step == 0) | (n % 8 == 0))
+        for side, part in enumerate((_first(norm, h), _last(norm, h))):
+            keys[f"_k{step}{side}"] = F.when(used, F.xxhash64(part, h, F.lit(side)))
+    return keys
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(_h, _g, _at, _v, _slot, _role): keys of a line's deletion neighbourhood.
+    """(_at, _v, _slot, _role): keys of the deletion neighbourhood of lines (_at, _norm, _head, _tail).
 
     _slot is the deleted position for replacements; under -1 undeleted lines (role 0) and variants
-    (role 1) meet.
+    (role 1) meet.  _head: another line shares the first words, so the edit lies behind them;
+    _tail likewise.
     """
-    n = F.size("_words")
-    indices = F.when(F.col("_side") == 0, F.sequence(F.col("_end"), n - 1)).otherwise(F.sequence(F.lit(0), n - F.col("_end") - 1))
-    deleted = lines.select("_h", "_g", "_at", "_words", F.explode(indices).alias("_i"))
-    shorter = F.concat(F.slice("_words", F.lit(1), F.col("_i")), F.slice("_words", F.col("_i") + 2, n))
-    deleted = deleted.select("_h", "_g", "_at", "_i", _hash(shorter, 7).alias("_v"))
-    slots = F.array(F.struct(F.col("_i").alias("slot"), F.lit(0).alias("role")), F.struct(F.lit(-1).alias("slot"), F.lit(1).alias("role")))
-    deleted = deleted.select("_h", "_g", "_at", "_v", F.explode(slots).alias("_s")).select("_h", "_g", "_at", "_v", F.col("_s.slot").alias("_slot"), F.col("_s.role").alias("_role"))
-    whole = lines.select("_h", "_g", "_at", _hash(F.col("_words"), 7).alias("_v"), F.lit(-1).alias("_slot"), F.lit(0).alias("_role"))
-    return deleted.unionByName(whole).distinct()
+    n = _count(F.col("_norm"))
+    end = F.floor((n - 1) / 8).cast("int") * 4
+    positions = F.sequence(F.when(F.col("_tail"), 0).otherwise(end), F.when(F.col("_head"), n - 1).otherwise(n - end - 1))
+
+    def variant(i: Column) -> Column:
+        shorter = F.concat(_first(F.col("_norm"), i), F.lit(" "), _last(F.col("_norm"), F.col("_n") - i - 1))
+        return F.struct(i.alias("i"), F.xxhash64(F.trim(shorter)).alias("v"))
+
+    each = lines.select("_at", "_norm", n.alias("_n"), positions.alias("_positions"))
+    deleted = each.select("_at", F.inline(F.transform("_positions", variant)))
+    keys = F.array(F.struct(F.col("i").alias("slot"), F.lit(0).alias("role")), F.struct(F.lit(-1).alias("slot"), F.lit(1).alias("role")))
+    deleted = deleted.select("_at", F.col("v").alias("_v"), F.inline(keys)).select("_at", "_v", F.col("slot").alias("_slot"), F.col("role").alias("_role"))
+    return deleted.unionByName(lines.select("_at", F.xxhash64("_norm").alias("_v"), F.lit(-1).alias("_slot"), F.lit(0).alias("_role")))
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -90,48 +107,59 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= longest - 1)
 
 
-def near_lines(rows: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(_h, _g): lines with an earlier line one edit away.
+def near_lines(rows: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(_at, _near): first places of lines with an earlier line one edit away.
 
-    ``distinct``: (_h, _g, _at, _ends), one row per different line with its first place.
+    ``rows``: keyed texts; ``distinct``: (_h, _at, end keys), one row per different line.
     """
-    ends = distinct.select("_h", "_g", "_at", F.explode("_ends").alias("_e")).select("_h", "_g", "_at", F.col("_e.side").alias("_side"), F.col("_e.h").alias("_end"), F.col("_e.key").alias("_key"))
-    shared = ends.groupBy("_side", "_end", "_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    able = ends.join(shared, ["_side", "_end", "_key"]).groupBy("_h", "_g", "_at").agg(F.collect_set(F.struct("_side", "_end")).alias("_sides"))
+    each = F.array(*[F.struct(F.col(k).alias("key"), F.lit(k.endswith("0")).alias("head")) for k in _end_keys()])
+    ends = distinct.select("_h", F.inline(each)).filter("key IS NOT NULL")
+    shared = ends.groupBy("key").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("key")
+    able = ends.join(shared, "key").groupBy("_h").agg(F.max("head").alias("_head"), F.max(~F.col("head")).alias("_tail"))
     # the words of these lines only, taken from the documents in which they come first
-    wanted = able.groupBy(F.col("_at.d").alias("_d"), F.col("_at.p").alias("_p")).agg(F.collect_list(F.struct("_h", "_g", "_at", "_sides")).alias("_able"))
-    found = rows.join(wanted, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_print") == F.col("_p"))).select(F.split("_text", "\n", -1).alias("_all"), F.explode("_able").alias("_a"))
-    able_lines = cut(
-        found.select("_a.*", _words(F.element_at("_all", F.col("_a._at.l") + 1)).alias("_words")).dropDuplicates(["_h", "_g"]), "able-lines"
-    )
-    sided = able_lines.select("_h", "_g", "_at", "_words", F.explode("_sides").alias("_s")).select("_h", "_g", "_at", "_words", F.col("_s._side").alias("_side"), F.col("_s._end").alias("_end"))
-    emitted = cut(_variants(sided), "variants")
+    placed = distinct.select("_h", "_at").join(able, "_h")
+    wanted = placed.groupBy(F.col("_at.d").alias("_d"), F.col("_at.p").alias("_p")).agg(F.collect_list(F.struct("_at", "_head", "_tail")).alias("_able"))
+    found = rows.join(wanted, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_print") == F.col("_p")))
+    texts = found.select(F.split("_text", "\n", -1).alias("_all"), F.inline("_able"))
+    lines = texts.select("_at", "_head", "_tail", _norm(F.element_at("_all", F.col("_at.l") + 1)).alias("_norm"))
+    lines = cut(lines.dropDuplicates(["_at"]), "able-lines")
+    emitted = _variants(lines)
     met = emitted.groupBy("_v", "_slot").agg(
-        F.min(F.when(F.col("_role") == 0, F.col("_at"))).alias("_m0"), F.min(F.when(F.col("_role") == 1, F.col("_at"))).alias("_m1"), F.count(F.lit(1)).alias("_n")
-    ).filter("_n > 1").drop("_n")
+        F.min(F.when(F.col("_role") == 0, F.col("_at"))).alias("_m0"), F.max(F.when(F.col("_role") == 0, F.col("_at"))).alias("_x0"),
+        F.min(F.when(F.col("_role") == 1, F.col("_at"))).alias("_m1"),
+    ).filter("(_slot >= 0 AND _x0 > _m0) OR (_slot < 0 AND _m0 IS NOT NULL AND _m1 IS NOT NULL)").drop("_x0")
     partner = F.when((F.col("_slot") >= 0) | (F.col("_role") == 1), F.col("_m0")).otherwise(F.col("_m1"))
-    pairs = emitted.join(met, ["_v", "_slot"]).select("_h", "_g", "_at", partner.alias("_to")).filter("_to < _at").distinct()
-    texts = able_lines.select(F.col("_at").alias("_to"), F.col("_words").alias("_other"))
-    checked = pairs.join(able_lines.select("_h", "_g", "_words"), ["_h", "_g"]).join(texts, "_to")
-    return checked.filter(_one_edit(F.col("_words"), F.col("_other"))).select("_h", "_g").distinct()
+    pairs = emitted.join(met, ["_v", "_slot"]).select("_at", partner.alias("_to")).filter("_to < _at").distinct()
+    words = lines.select("_at", F.split("_norm", " ").alias("_words"))
+    checked = pairs.join(words, "_at").join(words.withColumnsRenamed({"_at": "_to", "_words": "_other"}), "_to")
+    return checked.filter(_one_edit(F.col("_words"), F.col("_other"))).select("_at").distinct().withColumn("_near", F.lit(True))
 
 
 def marked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_row, _doc, _print, _text, _gone): every row of ``docs`` with the sorted numbers of the lines to remove, or null.
+    """(_row, _doc, _print, _text, _had, _gone): every row of ``docs`` with the numbers of the lines to remove, or null.
 
-    Rows that repeat both id and text count as one document: their lines are at the same places.
-    Null and empty texts have no lines to remove; null ids come last; an empty table stays empty.
+    _row holds the columns but the text, _had whether there was one.  Rows that repeat both id and
+    text count as one document: their lines are at the same places.  Null and empty texts have no
+    lines to remove; null ids come last; an empty table stays empty.
     """
-    rows = packed(docs, doc_id, text)
-    bare = rows.drop("_row")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rows = docs.select(
+        F.struct(*others, F.lit(0).alias("_")).alias("_row"), F.col(doc_id).alias("_doc"), F.xxhash64(text_of(text)).alias("_print"),
+        text_of(text).alias("_text"), F.col(text).isNotNull().alias("_had"),
+    )
+    bare = rows.select("_doc", "_print", "_text")
     lines = lines_of(bare)
-    first = lines.select("_h", "_g", _place().alias("_at"), _ends(F.col("_words")).alias("_ends"))
-    distinct = cut(first.groupBy("_h", "_g").agg(F.min("_at").alias("_at"), F.min("_ends").alias("_ends"), F.count(F.lit(1)).alias("_n")), "lines")
-    near = near_lines(bare, lines, distinct).withColumn("_near", F.lit(True))
+    keys = _end_keys()
+    first = lines.select("_h", "_g", _place().alias("_at"), *[c.alias(k) for k, c in keys.items()])
+    distinct = cut(
+        first.groupBy("_h", "_g").agg(F.min("_at").alias("_at"), *[F.min(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_times")), "lines"
+    )
+    near = near_lines(bare, distinct)
     # lines that occur once and have no partner need no look at their places
-    suspect = distinct.join(near, ["_h", "_g"], "left").filter("_n > 1 OR _near").select("_h", "_g", F.col("_at").alias("_first"), F.coalesce("_near", F.lit(False)).alias("_near"))
+    known = distinct.select("_h", "_g", "_at", "_times").join(near, "_at", "left")
+    suspect = known.filter("_times > 1 OR _near").select("_h", "_g", F.col("_at").alias("_first"), F.coalesce("_near", F.lit(False)).alias("_near"))
     gone = lines.select("_doc", "_print", "_no", "_h", "_g").join(suspect, ["_h", "_g"]).filter(F.col("_near") | (_place() != F.col("_first")))
-    gone = gone.groupBy(F.col("_doc").alias("_d"), F.col("_print").alias("_p")).agg(F.array_sort(F.collect_set("_no")).alias("_gone"))
+    gone = gone.groupBy(F.col("_doc").alias("_d"), F.col("_print").alias("_p")).agg(F.collect_set("_no").alias("_gone"))
     return rows.join(gone, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_print") == F.col("_p")), "left").drop("_d", "_p")
 
 
@@ -154,7 +182,7 @@ def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def rewrite(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` and ``n_chars`` counted anew where there is one."""
-    out = marked(docs, doc_id, text).select("_row.*", F.when(F.col(f"_row.{text}").isNotNull(), kept_text()).alias("_kept"))
+    out = marked(docs, doc_id, text).select("_row.*", F.when(F.col("_had"), kept_text()).alias("_kept"))
     columns = []
     for name in docs.columns:
         if name == text:
