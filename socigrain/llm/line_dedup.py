@@ -122,7 +122,7 @@ def near_lines(rows: DataFrame, distinct: DataFrame) -> DataFrame:
     found = rows.join(wanted, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_print") == F.col("_p")))
     texts = found.select(F.split("_text", "\n", -1).alias("_all"), F.inline("_able"))
     lines = texts.select("_at", "_head", "_tail", _norm(F.element_at("_all", F.col("_at.l") + 1)).alias("_norm"))
-    lines = cut(lines.dropDuplicates(["_at"]), "able-lines")
+    lines = lines.dropDuplicates(["_at"])  # one shuffle that all uses below share, as they share that of the texts
     emitted = _variants(lines)
     met = emitted.groupBy("_v", "_slot").agg(
         F.min(F.when(F.col("_role") == 0, F.col("_at"))).alias("_m0"), F.max(F.when(F.col("_role") == 0, F.col("_at"))).alias("_x0"),
