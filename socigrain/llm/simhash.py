@@ -117,8 +117,12 @@ def keep_first(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", text: st
 
     Groups are told apart by their root fingerprint, so that groups of null ids only stay apart.
     """
+    return first_rows(docs, groups(docs, words, doc_id, text), doc_id, text)
+
+
+def first_rows(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of ``docs`` per ``_root`` of found (_doc, _print, _root), with its own columns."""
     own = docs.columns
-    found = groups(docs, words, doc_id, text)
     order = F.struct(F.col("_doc").isNull().alias("n"), F.col("_doc").alias("d"), F.col("_print").alias("p"))
     first = found.groupBy("_root").agg(F.min(order).alias("_o")).select(F.col("_o.d").alias("_doc"), F.col("_o.p").alias("_print"))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(doc_id).alias("_doc"), F.xxhash64(text_of(text)).alias("_print"))
