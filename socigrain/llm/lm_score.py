@@ -10,9 +10,10 @@ Steps, all by Spark partitions:
    positions in it, so that texts are read and cut once.
 2. The training counts of all words meet in word shards, which answer every slice's list with ids
    and counts.  Base scores are known then.
-3. Slices send their bigrams to context shards, the successors of a frequent context being dealt
-   out over several.  A shard builds its part of the trie from the training bigrams and asks it for
-   all of them; sums per document return to the slices.
+3. Slices send each different bigram once, with its training count, to context shards, the
+   successors of a frequent context being dealt out over several; a bigram has one entry per slice.
+   A shard adds the counts, builds its part of the trie and asks it for all bigrams; their values
+   return to the slices, which sum them per document.
 
 A trie part has two levels in a memory-mapped file: the contexts' ids and pointers, and their
 successors with quantised log10 probabilities.  Ids and pointers are Elias-Fano sequences;
@@ -312,8 +313,16 @@ def bigrams(slices: DataFrame, answered: DataFrame, totals: DataFrame, contexts:
         shard = (mixed((context[send] * 1_000_003 + ids[send] % slots).astype(np.uint64)) % np.uint64(contexts)).astype(np.int64)
         order = np.lexsort((ids[send], context[send], shard))
         send, shard = send[order], shard[order]
-        cuts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True]))) if len(send) else np.zeros(1, np.int64)
+        # each different bigram once, with its training count; where it stands stays with the slice
+        changes = np.concatenate(([True], (context[send][1:] != context[send][:-1]) | (ids[send][1:] != ids[send][:-1]) | (shard[1:] != shard[:-1]))) if len(send) else np.zeros(0, bool)
+        first = np.flatnonzero(changes)
         held = np.array(slice_["_held"], bool)
+        trained = np.add.reduceat((~held[text[send]]).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        place = np.zeros(total, np.uint32)  # 0 where the trie isn't asked
+        place[send] = np.cumsum(changes)
+        rows[0] |= {"_packed": [squeeze(place)], "_lengths": [total]}
+        send, shard = send[first], shard[first]
+        cuts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True]))) if len(send) else np.zeros(1, np.int64)
         for a, b in zip(cuts[:-1], cuts[1:]):
             at = send[a:b]
             heads, which = np.unique(context[at], return_inverse=True)
@@ -322,9 +331,9 @@ def bigrams(slices: DataFrame, answered: DataFrame, totals: DataFrame, contexts:
             head_count[which], tail_count[to] = context_count[at], counts[at]
             packed = [
                 squeeze(np.diff(heads, prepend=0)), squeeze(head_count), squeeze(np.diff(tails, prepend=0)), squeeze(tail_count),
-                squeeze(np.diff(which, prepend=0).astype(np.uint8)), squeeze(to.astype(np.uint32)), squeeze(text[at].astype(np.uint32)), np.packbits(held).tobytes(),
+                squeeze(np.diff(which, prepend=0).astype(np.uint8)), squeeze(to.astype(np.uint32)), squeeze(trained[a:b]),
             ]
-            rows.append(dict.fromkeys(names) | {"_slice": slice_["_slice"], "_shard": int(shard[a]), "_base": False, "_z": z, "_packed": packed, "_lengths": [len(heads), len(tails), b - a, len(sizes)]})
+            rows.append(dict.fromkeys(names) | {"_slice": slice_["_slice"], "_shard": int(shard[a]), "_base": False, "_z": z, "_packed": packed, "_lengths": [len(heads), len(tails), b - a]})
         return pa.Table.from_pylist([{n: r[n] for n in names} for r in rows], schema=arrow)
 
     def arrow_kind(t):
@@ -337,29 +346,25 @@ def bigrams(slices: DataFrame, answered: DataFrame, totals: DataFrame, contexts:
     return slices.drop("_words", "_counts").groupBy("_slice").cogroup(counted.groupBy("_slice")).applyInArrow(work, schema)
 
 
-def shard_sums(rows: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
-    """Per slice, the summed log10 probabilities of its documents' bigrams in this shard."""
-    heads, head_counts, tails, tail_counts, places, train, sizes = [], [], [], [], [], [], []
-    at = 0
+def shard_values(rows: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
+    """Per slice, the log10 probabilities of its different bigrams in this shard, in their order."""
+    heads, head_counts, tails, tail_counts, trained, sizes = [], [], [], [], [], []
     for row in rows:
-        n_heads, n_tails, n, n_docs = row["_lengths"]
+        n_heads, n_tails, n = row["_lengths"]
         p = row["_packed"]
         which, to = np.cumsum(spread(p[4], n, np.uint8)), spread(p[5], n, np.uint32).astype(np.int64)
-        text = spread(p[6], n, np.uint32).astype(np.int64)
         heads.append(np.cumsum(spread(p[0], n_heads, np.int64))[which])
         head_counts.append(spread(p[1], n_heads, np.int64)[which])
         tails.append(np.cumsum(spread(p[2], n_tails, np.int64))[to])
         tail_counts.append(spread(p[3], n_tails, np.int64)[to])
-        train.append(~np.unpackbits(np.frombuffer(p[7], np.uint8), count=n_docs).astype(bool)[text])
-        places.append(text + at)
-        sizes.append(n_docs)
-        at += n_docs
+        trained.append(spread(p[6], n, np.int64))
+        sizes.append(n)
     context, word = np.concatenate(heads), np.concatenate(tails)
     order = np.lexsort((word, context))
     context, word = context[order], word[order]
     first = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1]))))
     pair = np.cumsum(np.bincount(first, minlength=len(context))) - 1
-    count = np.add.reduceat(np.concatenate(train)[order].astype(np.int64), first)
+    count = np.add.reduceat(np.concatenate(trained)[order], first)
     context, word = context[first], word[first]
     head_count, tail_count = np.concatenate(head_counts)[order][first], np.concatenate(tail_counts)[order][first]
     unigram, weight = (tail_count + ADD) / rows[0]["_z"], smoothing(head_count)
@@ -367,8 +372,9 @@ def shard_sums(rows: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
     trie = Trie(context[seen], word[seen], np.log10((1 - weight[seen]) * count[seen] / head_count[seen] + weight[seen] * unigram[seen]))
     log10 = trie.look_up(context, word)
     log10 = np.where(np.isnan(log10), np.log10(weight * unigram), log10)
-    sums = np.bincount(np.concatenate(places)[order], weights=log10[pair], minlength=at)
-    for row, part in zip(rows, np.split(sums, np.cumsum(sizes)[:-1])):
+    values = np.empty(len(pair))
+    values[order] = log10[pair]
+    for row, part in zip(rows, np.split(values, np.cumsum(sizes)[:-1])):
         yield row["_slice"], part
 
 
@@ -397,7 +403,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         for batch in batches:
             base = batch.filter(batch.column("_base"))
             if base.num_rows:
-                yield base.select(kept).append_column(pa.field("_sums", pa.list_(pa.float64())), pa.nulls(base.num_rows, pa.list_(pa.float64())))
+                yield base.select(kept).append_column(pa.field("_values", pa.list_(pa.float64())), pa.nulls(base.num_rows, pa.list_(pa.float64())))
             for row in batch.filter(pa.compute.invert(batch.column("_base"))).select(["_slice", "_shard", "_z", "_packed", "_lengths"]).to_pylist():
                 if row["_shard"] != shard and held:
                     yield sums_of(held)
@@ -407,39 +413,43 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         if held:
             yield sums_of(held)
 
-    kept = ["_slice", "_shard", "_base", "_docs", "_held", "_sizes", "_known", "_basis", "_direct", "_train"]
-    asked = T.StructType([*[rows.schema[n] for n in kept], T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+    kept = ["_slice", "_shard", "_base", "_docs", "_held", "_sizes", "_known", "_basis", "_direct", "_train", "_packed", "_lengths"]
+    asked = T.StructType([*[rows.schema[n] for n in kept], T.StructField("_values", T.ArrayType(T.DoubleType()))])
 
     def sums_of(held):
-        found = list(shard_sums(held))
+        found = list(shard_values(held))
         none = [None] * len(found)
         return pa.RecordBatch.from_arrays(
             [pa.array([s for s, _ in found]), pa.array([held[0]["_shard"]] * len(found), pa.int32()), pa.array([False] * len(found)),
              *[pa.array(none, t) for t in nulls], pa.array([p.tolist() for _, p in found], pa.list_(pa.float64()))],
-            [*kept, "_sums"],
+            [*kept, "_values"],
         )
 
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[out_kind]
     longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
-    nulls = [pa.list_(simple), pa.list_(pa.bool_()), longs, longs, doubles, doubles, pa.int64()]
+    nulls = [pa.list_(simple), pa.list_(pa.bool_()), longs, longs, doubles, doubles, pa.int64(), pa.list_(pa.binary()), longs]
     placed = rows.repartition(min(contexts, 4 * shards), "_shard").sortWithinPartitions("_shard", "_slice")
     partial = placed.mapInArrow(ask_trie, asked)
     gathered = partial.repartition(shards, "_slice").sortWithinPartitions("_slice", F.desc("_base"), "_shard")
 
     def finish(batches):
-        now, sums = None, None
+        now, values = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["_base"]:
                     if now:
-                        yield result(now, sums)
-                    now, sums = row, np.array(row["_direct"])
+                        yield result(now, values)
+                    now, values = row, []
                 else:
-                    sums = sums + np.array(row["_sums"])
+                    values.append(np.array(row["_values"]))
         if now:
-            yield result(now, sums)
+            yield result(now, values)
 
-    def result(row, sums):
+    def result(row, values):
+        # a slice numbers its bigrams in the order of the shards; 0 stands where the trie isn't asked
+        found = np.concatenate([np.zeros(1), *values])[spread(row["_packed"][0], row["_lengths"][0], np.uint32)]
+        sizes = np.array(row["_sizes"], np.int64)
+        sums = np.array(row["_direct"]) + np.add.reduceat(found, np.cumsum(sizes) - sizes)
         n = len(sums)
         columns = [pa.array(row["_docs"], simple), pa.array(row["_held"]), pa.array(row["_sizes"]), pa.array(row["_known"]), pa.array([row["_train"]] * n), pa.array(row["_basis"]), pa.array(sums)]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -294,6 +294,30 @@ def test_lm_model_sums_to_one_and_beats_the_base(spark):
     assert out[0] > out[1] and out[0] / out[2] > -0.5
 
 
+def test_lm_bigram_is_sent_once_per_slice(spark, monkeypatch):
+    sent = spark.sparkContext.accumulator(0)
+    whole = lm_score.bigrams
+
+    def watched(*args):
+        rows = whole(*args)
+
+        def count(batches):
+            for batch in batches:
+                for base, lengths in zip(batch.column("_base").to_pylist(), batch.column("_lengths").to_pylist()):
+                    sent.add(0 if base else lengths[2])
+                yield batch
+
+        return rows.mapInArrow(count, rows.schema)
+
+    monkeypatch.setattr(lm_score, "bigrams", watched)
+    rows = [(i, "to be or not " * 50) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in lm_score.score(docs).collect()}
+    assert sent.value <= 6  # one slice; 40,200 occurrences
+    for (d, *_, score) in expected_scores(rows):
+        assert abs(got[d] - score) <= 201 * lm_score.STEP
+
+
 def test_lm_empty(spark, docs):
     assert lm_score.score(docs.limit(0)).collect() == []
     only = docs.filter("doc_id is null")
