@@ -149,7 +149,8 @@ def _parts(string: str, edges: str) -> tuple[str, str]:
     # normalised and lower-cased, too, it must end in a letter
     if not edges or not core or not normalize("NFC", core).lower()[-1].isalpha():
         return string, ""
-    return (core.lower() if core.isascii() else core), string[len(core) :]
+    # letters alone can't hold an added token, which the tokenizer looks for before it lower-cases
+    return (core.lower() if core.isascii() and core.isalpha() else core), string[len(core) :]
 
 
 def tokenised(texts: list[bytes], path: str, by_word: bool, kind: str, edges: str = "") -> list[bytes]:

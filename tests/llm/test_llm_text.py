@@ -214,7 +214,8 @@ def test_token_files(spark, docs, rows, monkeypatch, block_ids):
     whole = token_files.tokenised([(r[1] or "").encode() for r in rows], path, False, "<u2")
     assert whole == token_files.tokenised([(r[1] or "").encode() for r in rows], path, True, "<u2")
     odd = ["The, the. THE!! é, É. naïve*** x'. it's, don't; 'tis?! 12, a1. 3a| ... !? ſ, İ. K, <|endoftext|>. a\u0301, \u00bd. \u2160, \u0345."]
-    for texts in (odd, [r[1] or "" for r in rows]):
+    added = ["<|ENDOFTEXT|>a", "<|StartOfText|>x", "see <|ENDOFTEXT|>word.", "<|STARTOFTEXT|>x.", "a<|endoftext|>B, <|endoftext|>.", "The<|endoftext|. End"]
+    for texts in (odd, added, [r[1] or "" for r in rows]):
         raw = [t.encode() for t in texts]
         plain = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
         assert token_files.tokenised(raw, path, True, "<u2", token_files.WORD_EDGES) == plain
