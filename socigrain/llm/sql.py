@@ -46,3 +46,70 @@ k AS (SELECT wg.doc_id, wg.item_id, wg.size, wg.m, wg.b, sum(least(wg.c, coalesc
 sim AS (SELECT *, CAST(k AS DOUBLE) / CAST(size - 4 + m - k AS DOUBLE) AS similarity FROM k),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, b) AS rn FROM sim WHERE similarity >= 0.8)
 SELECT doc_id, item_id, CAST(b - 1 AS BIGINT) AS start, CAST(size AS BIGINT) AS n_words, similarity FROM best WHERE rn = 1"""
+
+
+def _manifest(levels: int = 5, source_levels: int = 3) -> str:
+    """Trees of at most 16^levels leaves a source and 16^source_levels sources, one CTE per level."""
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+    def told(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+
+    def climb(name, count):
+        parts = []
+        for k in range(count + 1):
+            parts.append(f"""{name}s{k} AS (SELECT t, p, n, d,
+  coalesce(string_agg(d, '') OVER (PARTITION BY t, p // 16 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+  coalesce(string_agg(d, '') OVER (PARTITION BY t, p // 16 ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS (SELECT t, p // 16 AS p, (n + 15) // 16 AS n,
+  CASE WHEN n > 1 THEN sha256(string_agg(d, '' ORDER BY p)) ELSE any_value(d) END AS d FROM {name}{k} GROUP BY t, p // 16, n)""")
+        return ",\n".join(parts)
+
+    head = told("doc_id") + " || " + " || ".join(told(c) for c in ("source", "lang", "n_chars"))
+    steps, last = [], "f0"
+    for k in range(levels + source_levels):
+        name, j, key = ("a", k, "x.t = w.t") if k < levels else ("b", k - levels, "x.t = ''")
+        at = f"w.p // {16 ** k}" if k < levels else f"w.sp // {16 ** j}"
+        steps.append(f"""f{k + 1} AS (SELECT w.doc_id, w.t, w.p, w.sp, w.leaf, w.subroot,
+  w.proof || x.lft || x.rgt AS proof, CASE WHEN x.n > 1 THEN sha256(x.lft || w.f || x.rgt) ELSE w.f END AS f
+  FROM f{k} w JOIN {name}s{j} x ON {key} AND x.p = {at})""")
+        last = f"f{k + 1}"
+    return f"""
+WITH lv AS (SELECT doc_id, coalesce('s' || source, '') AS t, sha256({head} || {told("text")}) AS d,
+  CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {told("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS changed FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, d) - 1 AS p, count(*) OVER (PARTITION BY t) AS n FROM lv),
+a0 AS (SELECT t, p, n, d FROM leaf),
+{climb("a", levels)},
+b0 AS (SELECT '' AS t, row_number() OVER (ORDER BY t) - 1 AS p, count(*) OVER () AS n, d, t AS source FROM a{levels}),
+{climb("b", source_levels)},
+f0 AS (SELECT leaf.doc_id, leaf.t, leaf.p, b0.p AS sp, leaf.d AS leaf, b0.d AS subroot, '' AS proof, coalesce(changed, leaf.d) AS f FROM leaf JOIN b0 ON b0.source = leaf.t),
+{(","+chr(10)).join(steps)}
+SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.d AS verified FROM {last}, b{source_levels} r"""
+
+
+MERKLE_MANIFEST = _manifest()
+
+
+def _chat() -> str:
+    """The digests, and the length of the format, from the rows themselves."""
+    from .chat import CONTROLS, END, NEXT, SEP, START
+
+    def escaped(c):
+        out = f"replace({c}, '\\', '\\\\')"
+        for control in CONTROLS:
+            out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+        return out
+
+    return f"""
+WITH src AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before FROM src WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({escaped("text")}) + CASE WHEN i > 1 AND role = before THEN {len(NEXT)} ELSE length({escaped("role")}) + {len(START + SEP + END)} END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id"""
+
+
+CHAT_FORMAT = _chat()
