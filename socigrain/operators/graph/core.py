@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ...functions.numbers import correlation
-from ...session import cut
+from ...session import cut, drop_cut
 from ..skew import HOT_ROWS, hot_keys, lookup_join, number_rows
 
 ONE_GRAPH = "all"
@@ -85,6 +85,10 @@ class ArcTable:
         count = int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.arcs = sliced.repartition(count, *self.keys, "_slice").persist(StorageLevel.DISK_ONLY)
 
+    def drop(self) -> None:
+        self.arcs.unpersist()
+        drop_cut(self.hot)
+
     def send(self, state: DataFrame, key: str = "id") -> DataFrame:
         """Every arc with the state of its source; ``key`` names the vertex column of the state."""
         s = state.withColumnRenamed(key, "src") if key != "src" else state

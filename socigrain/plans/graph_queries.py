@@ -178,6 +178,16 @@ def _(spark, sf):
     return rounded(PA.path_summary(net, PA.hop_measures(net)).select("graph_id", "avg_path", "diameter"), "avg_path")
 
 
+@query("G07_path_estimate", users_sql(SUMMARY.replace("max(ecc) AS diameter", "true AS close_to_it"), levels_sql(6), CLOSE))
+def _(spark, sf):
+    """The exact mean path, and whether the estimate without all sources is within 5 % of it."""
+    net = users(spark, sf).checkpointed()
+    exact = PA.path_summary(net, PA.hop_measures(net)).select("graph_id", "avg_path")
+    near = PA.path_summary(net, PA.hop_estimates(net, 13)).select("graph_id", F.col("avg_path").alias("estimate"))
+    close = F.abs(F.col("estimate") / F.col("avg_path") - 1) < 0.05
+    return rounded(exact.join(near, "graph_id").select("graph_id", "avg_path", close.alias("close_to_it")), "avg_path")
+
+
 @query("G07_hop_measures", sql(CH, levels_sql(14), CLOSE, select="SELECT g AS graph_id, v AS id, r AS reach, sd AS sum_dist, round(inv, 6) AS sum_inv, ecc FROM hm"))
 def _(spark, sf):
     return rounded(PA.hop_measures(chains(spark, sf).checkpointed()), "sum_inv")
@@ -268,9 +278,25 @@ def relaxations_sql(rounds):
     return ",\n".join(parts)
 
 
-@query("G15_weighted_betweenness")
+def tight_sql(rounds):
+    """Weighted betweenness from the distances wd: shortest-path arcs, counts and dependencies carried hop by hop: table wb."""
+    parts = ["dag AS (SELECT x.s, e.s AS u, e.t AS v FROM ar e JOIN wd x ON x.g = e.g AND x.v = e.s JOIN wd y ON y.g = e.g AND y.s = x.s AND y.v = e.t WHERE x.d + e.w = y.d)",
+             "c0 AS (SELECT v AS s, v, 1.0::DOUBLE AS n FROM vx)"]
+    for k in range(1, rounds + 1):
+        parts.append(f"c{k} AS (SELECT c.s, dag.v, sum(c.n) AS n FROM c{k - 1} c JOIN dag ON dag.s = c.s AND dag.u = c.v GROUP BY 1, 2)")
+    parts.append("sg AS (SELECT s, v, sum(n) AS n FROM (" + " UNION ALL ".join(f"SELECT * FROM c{k}" for k in range(rounds + 1)) + ") GROUP BY 1, 2)")
+    parts.append("p0 AS (SELECT s, v, 1 / n AS x FROM sg)")
+    for k in range(1, rounds + 1):
+        parts.append(f"p{k} AS (SELECT p.s, dag.u AS v, sum(p.x) AS x FROM p{k - 1} p JOIN dag ON dag.s = p.s AND dag.v = p.v GROUP BY 1, 2)")
+    parts.append("pg AS (SELECT s, v, sum(x) AS x FROM (" + " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(rounds + 1)) + ") GROUP BY 1, 2)")
+    parts.append("wb AS (SELECT v, sum(n * x - 1) AS b FROM sg JOIN pg USING (s, v) WHERE s <> v GROUP BY v)")
+    return ",\n".join(parts)
+
+
+@query("G15_weighted_betweenness", users_sql("SELECT g AS graph_id, vx.v AS id, round(coalesce(b, 0) / ((n - 1) * (n - 2)), 6) AS betweenness FROM vx JOIN nn USING (g) LEFT JOIN wb ON wb.v = vx.v",
+                                             relaxations_sql(10), tight_sql(10)))
 def _(spark, sf):
-    return PA.betweenness(users(spark, sf).checkpointed(), weighted=True)
+    return rounded(PA.betweenness(users(spark, sf).checkpointed(), weighted=True), "betweenness")
 
 
 @query("G17_weighted_closeness", users_sql("""
@@ -330,6 +356,21 @@ def _(spark, sf):
     return CM.communities(users(spark, sf).checkpointed())
 
 
+@query("G27_girvan_newman", """
+  WITH n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1),
+  -- a chain of n loses its middle edge first, the earlier one on a tie; then the longer part, the earlier one on a tie, loses its own
+  a AS (SELECT conv_id, n, CASE WHEN n < 2 THEN n ELSE (n - 2) // 2 + 1 END AS a FROM n),
+  c AS (SELECT conv_id, n, a, CASE WHEN n - a > a THEN a + (n - a - 2) // 2 + 1 WHEN a > 1 THEN (a - 2) // 2 + 1 ELSE a END AS c FROM a)
+  SELECT conv_id AS graph_id, turn AS id, CAST((CASE WHEN turn >= a THEN 1 ELSE 0 END) + (CASE WHEN c <> a AND turn >= c THEN 1 ELSE 0 END) AS BIGINT) AS community
+  FROM conversations JOIN c USING (conv_id)""")
+def _(spark, sf):
+    """Every conversation's reply chain split twice, all of them in the same two rounds."""
+    t = ad.table(spark, sf, "conversations").select(F.col("conv_id").alias("graph_id"), "turn")
+    e = t.filter("turn > 0").select("graph_id", F.col("turn").alias("src"), (F.col("turn") - 1).alias("dst"))
+    net = C.network(e, t.select("graph_id", F.col("turn").alias("id")), directed=False, graph_id="graph_id")
+    return CM.numbered_communities(CM.girvan_newman(net), "split_2", net.vertices)
+
+
 @query("G28_community_flag_sizes", users_sql("""
   , j AS (SELECT c, is_local FROM lb JOIN accounts a ON a.user_id = lb.v),
   top AS (SELECT c, count(*) AS total FROM j GROUP BY c ORDER BY total DESC, c LIMIT 10)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Runtime settings only: safe on a session somebody else built.
 RUNTIME_SETTINGS = {
@@ -72,13 +73,46 @@ def cut(df: DataFrame, label: str = "step", compression: str = "snappy") -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if "/socigrain/" in path:
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the table behind a frame that ``cut`` returned, once nothing reads it any more."""
     for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
-        jvm = df.sparkSession._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        if "/socigrain/" in path:
-            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        _delete(df.sparkSession, path)
+
+
+class StoredSteps:
+    """Numbered tables of one iteration in one folder: appended to, read together, deleted together.
+
+    A round writes what it changed and nothing else, and however many rounds there are, all of them
+    are one scan.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, scratch_path(spark, label)
+        self.schema, self.count = None, 0
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Store the next step and read it back."""
+        self.schema = self.schema or df.schema
+        df.write.mode("overwrite").parquet(f"{self.path}/step={self.count}")
+        self.count += 1
+        return self.read(self.count - 1)
+
+    def read(self, *steps: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/step={n}" for n in steps])
+
+    def all(self) -> DataFrame:
+        """Every step, with its number in ``step``."""
+        whole = StructType([*self.schema.fields, StructField("step", IntegerType())])
+        return self.spark.read.schema(whole).parquet(self.path)
+
+    def drop(self) -> None:
+        _delete(self.spark, self.path)
 
 
 def balanced(df: DataFrame) -> DataFrame:

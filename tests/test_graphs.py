@@ -1,8 +1,10 @@
 """Hand-computed measures of small graphs; several graphs share a job by graph_id."""
 
+import random
+
 import pytest
 
-from socigrain.operators.graph import community as CM, components as CP, core as C, paths as PA, rank as RK, stars, triangles as TRI
+from socigrain.operators.graph import community as CM, components as CP, core as C, packed, paths as PA, rank as RK, stars, triangles as TRI
 
 K4 = [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]
 GRAPHS = {
@@ -131,6 +133,122 @@ def test_communities(spark, net):
     assert split["path", 1] != split["path", 5]  # every graph is split by itself
 
 
+def brute_edge_betweenness(vertices, edges):
+    near = {v: set() for v in vertices}
+    for a, b in edges:
+        near[a].add(b), near[b].add(a)
+    out = dict.fromkeys(edges, 0.0)
+    for s in vertices:
+        dist, sigma, order = {s: 0}, {s: 1.0}, [s]
+        for u in order:
+            for v in near[u]:
+                if v not in dist:
+                    dist[v], sigma[v] = dist[u] + 1, 0.0
+                    order.append(v)
+                if dist[v] == dist[u] + 1:
+                    sigma[v] += sigma[u]
+        dep = dict.fromkeys(order, 0.0)
+        for v in reversed(order):
+            for u in near[v]:
+                if dist.get(u) == dist[v] - 1:
+                    part = sigma[u] / sigma[v] * (1 + dep[v])
+                    dep[u] += part
+                    out[min(u, v), max(u, v)] += part / 2
+    return out
+
+
+def brute_components(vertices, edges):
+    root = {v: v for v in vertices}
+    for _ in vertices:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def brute_splits(edges, splits):
+    vertices, left, out = sorted({v for e in edges for v in e}), list(edges), []
+    for _ in range(splits):
+        had = len(set(brute_components(vertices, left).values()))
+        while left and len(set(brute_components(vertices, left).values())) == had:
+            b = brute_edge_betweenness(vertices, left)
+            left.remove(min(left, key=lambda e: (-round(b[e], 9), e)))
+        out.append(brute_components(vertices, left))
+    return out
+
+
+def random_graph(seed, n, m):
+    rnd = random.Random(seed)
+    tree = [tuple(sorted((i, rnd.randrange(i)))) for i in range(1, n)]
+    return sorted({*tree, *(tuple(sorted(rnd.sample(range(n), 2))) for _ in range(m))})
+
+
+def test_girvan_newman_equals_plain_python(spark):
+    graphs = {"cliques": GRAPHS["cliques"], "path": GRAPHS["path"], "pair": [(3, 9)], "tree": random_graph(1, 12, 0), "loose": random_graph(2, 9, 2)}
+    net = build(spark, graphs)
+    got = CM.girvan_newman(net, 2)
+    rows = {(r["graph_id"], r["id"]): (r["split_1"], r["split_2"]) for r in got.collect()}
+    want = {}
+    for g, es in graphs.items():
+        one, two = brute_splits([tuple(sorted(e)) for e in es], 2)
+        want.update({(g, v): (one[v], two[v]) for v in one})
+    assert rows == want
+    more = net.vertices.unionByName(spark.createDataFrame([("pair", 77)], "graph_id string, id long"))
+    numbered = by_node(CM.numbered_communities(got, "split_2", more), "community")
+    assert numbered["pair", 77] == -1 and numbered["pair", 3] == 0 and numbered["pair", 9] == 1
+    assert sorted({c for (g, _), c in numbered.items() if g == "cliques"}) == list(range(len({w[1] for (g, _), w in want.items() if g == "cliques"})))
+
+
+def test_edge_betweenness_of_more_sources_than_a_row_holds(spark):
+    edges = random_graph(5, 150, 120)
+    got = {(r["src"], r["dst"]): r["betweenness"] for r in PA.edge_betweenness(build(spark, {"g": edges}), sources_at_once=100).collect()}
+    want = brute_edge_betweenness(range(150), edges)
+    assert got == pytest.approx(want)
+
+
+def brute_distances(edges, weight, s):
+    dist = {s: 0.0}
+    while True:
+        new = dict(dist)
+        for (a, b), w in zip(edges, weight):
+            for u, v in ((a, b), (b, a)):
+                if u in dist and dist[u] + w < new.get(v, 1e300):
+                    new[v] = dist[u] + w
+        if new == dist:
+            return dist
+        dist = new
+
+
+@pytest.mark.parametrize("delta", [None, 0.5])
+def test_weighted_distances(spark, delta):
+    edges = random_graph(7, 70, 60)
+    rnd = random.Random(1)
+    weights = {e: rnd.choice([0.25, 1.0, 1.5, 6.0]) for e in edges}
+    net = build(spark, {"g": edges}, weights=weights)
+    batches = packed.source_batches(net, 2048)  # its end deletes the numbering
+    sources = next(batches)
+    found = packed.Distances(net.arcs(), sources, delta)
+    named = {(r["batch"], r["slot"]): r["id"] for r in sources.collect()}
+    got = {}
+    for r in found.state().collect():
+        got.update({(named[r["batch"], i], r["id"]): d for i, d in enumerate(r["x"]) if d is not None})
+    want = {(s, v): d for s in range(70) for v, d in brute_distances(edges, [weights[e] for e in edges], s).items()}
+    assert got == want
+
+
+def test_estimated_hops(spark):
+    edges = random_graph(3, 400, 500)
+    net = build(spark, {"g": edges, "path": [(i, i + 1) for i in range(20)]})
+    exact = {(r["graph_id"], r["id"]): r for r in PA.hop_measures(net).collect()}
+    near = {(r["graph_id"], r["id"]): r for r in PA.hop_estimates(net, lg_k=12).collect()}
+    assert set(exact) == set(near)
+    for key, e in exact.items():
+        # five standard errors of 1.04 / sqrt(4096); the path's few vertices are counted exactly
+        limit = 0 if key[0] == "path" else 5 * 1.04 / 64
+        for c in ("reach", "sum_dist", "sum_inv"):
+            assert near[key][c] == pytest.approx(e[c], rel=limit + 1e-9), (key, c)
+        assert near[key]["ecc"] <= e["ecc"]
+
+
 def test_zero_weights_are_refused(spark):
     zero = build(spark, {"z": [(1, 2), (2, 3), (1, 3)]}, weights={(1, 2): 0.0})
     with pytest.raises(ValueError):
