@@ -80,7 +80,8 @@ def hop_estimates(net: Network, lg_k: int = 11) -> DataFrame:
     HyperBall: the vertices within t hops of a vertex are a distinct counter of 2^lg_k registers, and a round
     unites the counters along the arcs.  The relative standard error of a counter, and so about that of
     ``reach`` and of the sums, is 1.04 / sqrt(2^lg_k): 2.3 % at 11, 1.6 % at 12; sets far smaller than 2^lg_k
-    are counted exactly.  ``ecc`` is the last round that raised the vertex's estimate, so it can be too small.
+    are counted exactly.  ``ecc`` is the last round that raised the vertex's estimate: it can be too small, and
+    too great by a round where the counter changes its form.
     State is one counter per vertex whatever the number of sources; a round writes the counters it raised.
     """
     key = ["graph_id", "id"]

@@ -246,7 +246,7 @@ def test_estimated_hops(spark):
         limit = 0 if key[0] == "path" else 5 * 1.04 / 64
         for c in ("reach", "sum_dist", "sum_inv"):
             assert near[key][c] == pytest.approx(e[c], rel=limit + 1e-9), (key, c)
-        assert near[key]["ecc"] <= e["ecc"]
+        assert abs(near[key]["ecc"] - e["ecc"]) <= (0 if key[0] == "path" else 1)
 
 
 def test_zero_weights_are_refused(spark):
