@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -85,6 +86,16 @@ def drop_cut(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It deletes them when the driver's JVM collects the plans, by itself only every half hour or under
+    pressure; between the steps of a job that is too late for the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class StoredSteps:
     """Numbered tables of one iteration in one folder: appended to, read together, deleted together.
 
