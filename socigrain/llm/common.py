@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import cut, drop_cut, scratch_path, shared_dir, tune  # noqa: F401
+from ..session import cut, drop_cut, release, scratch_path, shared_dir, tune  # noqa: F401
 
 #: Rows of one Arrow batch; documents of some kilobytes make batches of a few megabytes.
 BATCH_ROWS = 500
