@@ -101,9 +101,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def inbound_reactions(posts: DataFrame) -> DataFrame:
-    """Per referenced post: reposts, quotes, replies and mean delays, in one aggregation."""
-    refs = posts.select(
+def reaction_refs(posts: DataFrame) -> DataFrame:
+    """(kind, id, delay): the posts that each post reacts to."""
+    return posts.select(
         F.explode(
             F.array(
                 *[
@@ -118,10 +118,14 @@ def inbound_reactions(posts: DataFrame) -> DataFrame:
         ).alias("r")
     ).select("r.*").filter(F.col("id").isNotNull())
 
+
+def inbound_reactions(posts: DataFrame) -> DataFrame:
+    """Per referenced post: reposts, quotes, replies and mean delays, in one aggregation."""
+
     def of(kind: str) -> Column:
         return F.col("kind") == kind
 
-    return refs.groupBy("id").agg(
+    return reaction_refs(posts).groupBy("id").agg(
         F.count_if(of("repost")).alias("in_repost_cnt"),
         F.avg(F.when(of("repost"), F.col("delay"))).alias("in_repost_delay_sec"),
         F.count_if(of("quote")).alias("in_quote_cnt"),

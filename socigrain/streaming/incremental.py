@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.baseline import advance_marks, newer_than_marks
+from ..operators.baseline import newer_than_marks
+from .folded import FoldedTable, drain
 
 STAMP = "created_at"
 
@@ -29,43 +30,29 @@ class MarkedTable:
 
     Each batch has its own folder named by its number, so a batch that is run again after a
     failure replaces what its first run wrote.  A batch writes the marks that it may have moved
-    only; a user's mark is the largest one written so far.
+    only; a user's mark is the largest one written so far, and marks are folded now and then.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fold_every: int = 16):
         self.spark, self.root = spark, root
-
-    def _marks_before(self, batch: int) -> DataFrame:
-        if batch == 0:
-            return self.spark.createDataFrame([], "user_id bigint, max_id bigint")
-        return self.marks(batch - 1)
+        self.moved = FoldedTable(spark, f"{root}/marks", "user_id bigint, max_id bigint", {"max_id": "max"}, fold_every)
 
     def accept(self, batch_rows: DataFrame, batch: int) -> None:
-        marks = self._marks_before(batch)
-        fresh = newer_than_marks(batch_rows, marks)
+        fresh = newer_than_marks(batch_rows, self.marks(batch - 1))
         fresh.write.mode("overwrite").parquet(f"{self.root}/posts/batch={batch}")
         stored = self.spark.read.schema(batch_rows.schema).parquet(f"{self.root}/posts/batch={batch}")
-        none = self.spark.createDataFrame([], "user_id bigint, max_id bigint")
-        advance_marks(none, stored).write.mode("overwrite").parquet(f"{self.root}/marks/batch={batch}")
+        self.moved.write(batch, stored.select("user_id", F.col("id").alias("max_id")))
 
     def run(self, stream: DataFrame) -> int:
-        """Drain what has arrived; returns the number of the last batch."""
-        query = (
-            stream.writeStream.foreachBatch(self.accept)
-            .option("checkpointLocation", f"{self.root}/progress")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        done = query.lastProgress
-        return -1 if done is None else done["batchId"]
+        """Drain what has arrived; returns the last batch committed."""
+        return drain(stream, self.accept, f"{self.root}/progress")
 
     def posts(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/posts").drop("batch")
 
     def marks(self, last_batch: int) -> DataFrame:
-        written = self.spark.read.parquet(f"{self.root}/marks").filter(F.col("batch") <= last_batch)
-        return written.groupBy("user_id").agg(F.max("max_id").alias("max_id"))
+        """Marks after a batch: the last one or the one before, since older folds are deleted."""
+        return self.moved.read(last_batch)
 
 
 def arriving_parquet(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
