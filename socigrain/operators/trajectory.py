@@ -9,26 +9,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.numbers import euclid
+from .rolling import rolling_moments, rolling_quantiles
 from .skew import lookup_join, number_rows
 
 BLOCK = 100_000
 
 
 def with_halo(traj: DataFrame, reach: int, block: int = BLOCK) -> DataFrame:
-    """Add ``_block``/``_own``; rows within ``reach`` frames before a block are copied into it."""
-    if reach > block:
-        raise ValueError("a window must not reach further back than one block")
-    own = F.floor(F.col("frame") / block)
-    nxt = F.floor((F.col("frame") + reach) / block)
-    copies = traj.withColumn("_home", own).withColumn(
-        "_block", F.explode(F.array_distinct(F.array(F.col("_home"), nxt)))
+    """Add ``_block``/``_own``; rows within ``reach`` frames before a block are copied into it.
+
+    A reach beyond the block copies a row into every block that looks back on it.
+    """
+    home = F.floor(F.col("frame") / block)
+    copies = traj.withColumn("_home", home).withColumn(
+        "_block", F.explode(F.sequence(F.col("_home"), F.floor((F.col("frame") + reach) / block)))
     )
     return copies.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
 
 
+def block_of(window: int) -> int:
+    """Block for a window: no smaller than the window, so that a row is copied once at most."""
+    return max(BLOCK, window)
+
+
 def without_halo(df: DataFrame) -> DataFrame:
     return df.filter("_own").drop("_own", "_block")
 
@@ -37,15 +45,15 @@ def _w():
     return W.partitionBy("entity", "_block").orderBy("frame")
 
 
-def differences(traj: DataFrame, cols: Sequence[str], n: int = 1, block: int = BLOCK) -> DataFrame:
+def differences(traj: DataFrame, cols: Sequence[str], n: int = 1, block: int | None = None) -> DataFrame:
     """``<c>_diff`` = value minus the value n frames earlier; null for the first n."""
-    d = with_halo(traj, n, block)
+    d = with_halo(traj, n, block or block_of(n))
     return without_halo(d.withColumns({f"{c}_diff": F.col(c) - F.lag(c, n).over(_w()) for c in cols}))
 
 
-def path_values(traj: DataFrame, window: int, block: int = BLOCK) -> DataFrame:
+def path_values(traj: DataFrame, window: int, block: int | None = None) -> DataFrame:
     """Step, straight and real path length over ``window`` frames, straightness and axis changes."""
-    d = with_halo(traj, window, block)
+    d = with_halo(traj, window, block or block_of(window))
     w = _w()
     rolling = w.rowsBetween(-(window - 1), 0)
 
@@ -64,19 +72,47 @@ def path_values(traj: DataFrame, window: int, block: int = BLOCK) -> DataFrame:
     return without_halo(out).drop("_dx", "_dy", "_wx", "_wy")
 
 
-def rolling_descriptor(traj: DataFrame, value: str, window: int, block: int = BLOCK) -> DataFrame:
-    """min, max, mean, median, sample std, p10..p90 over full windows; null before the first one."""
-    d = with_halo(traj, window - 1, block)
+#: Windows of up to this many frames are sorted anew for each frame, inside Spark's window operator.
+SHORT = 32
+#: Measures of ``rolling_descriptor`` in column order; a number is the quantile.
+DESCRIPTOR = {"min": 0.0, "max": 1.0, "mean": None, "median": 0.5, "std": None, "p10": 0.1, "p25": 0.25, "p75": 0.75, "p90": 0.9}
+
+
+def rolling_descriptor(traj: DataFrame, value: str, window: int, block: int | None = None) -> DataFrame:
+    """min, max, mean, median, sample std, p10..p90 over full windows; null before the first one.
+
+    A window with a null or NaN has null measures; the standard deviation of one frame is null.  All columns
+    are kept.  Over a window of more than ``SHORT`` frames a block is run through once: a sorted window takes
+    one value in and lets one go per frame, and sums come from pieces of a window's length.
+    """
+    d = with_halo(traj, window - 1, block or block_of(window)).withColumn("_x", F.col(value).cast("double"))
+    if window <= SHORT:
+        return without_halo(_sorted_anew(d, value, window)).drop("_x")
+    names = [f"{value}_{n}" for n in DESCRIPTOR]
+    kept = [f for f in d.schema.fields if f.name not in ("_x", "_own", "_block")]
+    schema = StructType([*kept, *[StructField(n, DoubleType()) for n in names]])
+
+    def describe(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("frame")
+        x = rows["_x"].to_numpy(zero_copy_only=False).astype(float)
+        mean, std = rolling_moments(x, window)
+        quantiles = rolling_quantiles(x, window, [q for q in DESCRIPTOR.values() if q is not None])
+        measures = {"mean": mean, "std": std} | dict(zip((n for n, q in DESCRIPTOR.items() if q is not None), quantiles))
+        out = rows.select([f.name for f in kept])
+        for name, measure in DESCRIPTOR.items():
+            out = out.append_column(f"{value}_{name}", pa.array(measures[name], from_pandas=True))
+        return out.filter(rows["_own"])
+
+    return d.groupBy("entity", "_block").applyInArrow(describe, schema)
+
+
+def _sorted_anew(d: DataFrame, value: str, window: int) -> DataFrame:
     frame = _w().rowsBetween(-(window - 1), 0)
-    full = F.count(value).over(frame) == window
-    x = F.col(value)
-    measures = {
-        "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "median": F.percentile(x, F.lit(0.5)),
-        "std": F.stddev_samp(x), "p10": F.percentile(x, F.lit(0.1)), "p25": F.percentile(x, F.lit(0.25)),
-        "p75": F.percentile(x, F.lit(0.75)), "p90": F.percentile(x, F.lit(0.9)),
-    }
-    d = d.withColumns({f"{value}_{n}": F.when(full, m.over(frame)) for n, m in measures.items()})
-    return without_halo(d)
+    x = F.nanvl("_x", F.lit(None))
+    others = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+    measures = {n: others[n] if n in others else F.percentile(x, F.lit(q)) for n, q in DESCRIPTOR.items()}
+    full = F.count(x).over(frame) == window
+    return d.withColumns({f"{value}_{n}": F.when(full, m.over(frame)) for n, m in measures.items()})
 
 
 def forward_fill(traj: DataFrame, cols: Sequence[str], block: int = BLOCK) -> DataFrame:
@@ -107,7 +143,7 @@ def shift_to_origin(traj: DataFrame) -> DataFrame:
     )
 
 
-def acceleration(traj: DataFrame, velocity: str = "velocity", block: int = BLOCK) -> DataFrame:
+def acceleration(traj: DataFrame, velocity: str = "velocity", block: int | None = None) -> DataFrame:
     """Successive velocity differences: one row fewer than frames per entity."""
     d = differences(traj, [velocity], 1, block)
     return d.filter(F.col("frame") > 0).select(

@@ -250,16 +250,31 @@ def _(spark, sf):
     return rounded(rounded(p, "step", "spl", "rpl", "abs_change_x", "abs_change_y", digits=5), "str_index")
 
 
-@query("W03_rolling_descriptor", sql(EV, TRAJ, select="SELECT entity, frame, " + ", ".join(
-    f"CASE WHEN n = 7 THEN round({e}, 5) END AS pos_x_{c}" for c, e in (
-        ("min", "mn"), ("max", "mx"), ("mean", "av"), ("std", "sd"), ("median", "q[3]"), ("p10", "q[1]"), ("p25", "q[2]"), ("p75", "q[4]"), ("p90", "q[5]"))) + """
+def _rolling_sql(window):
+    """Measures of full windows; every window function shares one frame."""
+    shown = ", ".join(
+        f"CASE WHEN n = {window} THEN round({e}, 5) END AS pos_x_{c}" for c, e in (
+            ("min", "mn"), ("max", "mx"), ("mean", "av"), ("std", "sd"), ("median", "q[3]"), ("p10", "q[1]"), ("p25", "q[2]"), ("p75", "q[4]"), ("p90", "q[5]")))
+    return sql(EV, TRAJ, select=f"""SELECT entity, frame, {shown}
   FROM (SELECT entity, frame, count(pos_x) OVER w AS n, min(pos_x) OVER w AS mn, max(pos_x) OVER w AS mx, avg(pos_x) OVER w AS av, stddev_samp(pos_x) OVER w AS sd,
-          quantile_cont(pos_x, [0.1, 0.25, 0.5, 0.75, 0.9]) OVER w AS q FROM traj WINDOW w AS (PARTITION BY entity ORDER BY frame ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""))
-def _(spark, sf):
-    d = TR.rolling_descriptor(ad.trajectories(spark, sf), "pos_x", 7)
+          quantile_cont(pos_x, [0.1, 0.25, 0.5, 0.75, 0.9]) OVER w AS q FROM traj WINDOW w AS (PARTITION BY entity ORDER BY frame ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW))""")
+
+
+def _rolling(spark, sf, window):
+    d = TR.rolling_descriptor(ad.trajectories(spark, sf), "pos_x", window)
     return rounded(d.drop("pos_x", "pos_y"), *[c for c in d.columns if c.startswith("pos_x_")], digits=5)
 
 
+@query("W03_rolling_descriptor", _rolling_sql(7))
+def _(spark, sf):
+    return _rolling(spark, sf, 7)
+
+
+@query("W03_rolling_wide", _rolling_sql(60))
+def _(spark, sf):
+    return _rolling(spark, sf, 60)
+
+
 @query("W04_forward_fill", sql(EV, TRAJ, select="""
   , g AS (SELECT entity, frame, CASE WHEN pos_y >= 30 THEN pos_x END AS pos_x, pos_y FROM traj),
   h AS (SELECT entity, frame, last_value(pos_x IGNORE NULLS) OVER (PARTITION BY entity ORDER BY frame ROWS UNBOUNDED PRECEDING) AS pos_x, pos_y FROM g)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from socigrain.operators import rollups as R, skew, stats as ST, trajectory as TR
+from socigrain.operators import rolling, rollups as R, skew, stats as ST, trajectory as TR
 
 
 def test_number_rows_equals_one_window(spark):
@@ -81,6 +81,47 @@ def test_rolling_over_block_edges(spark, walk):
     np.testing.assert_allclose(desc["pos_x_std"], want["sd"], atol=1e-9)
 
 
+@pytest.mark.parametrize("window", [1, 2, 7, 300, 5000])
+def test_rolling_statistics(window):
+    rng = np.random.RandomState(window)
+    x = np.round(rng.lognormal(0, 2, 4000), 1)  # ties
+    x[rng.rand(4000) < 0.0005] = np.nan
+    x[1000] = 1e12
+    s = pd.Series(x)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    for p, got in zip(probs, rolling.rolling_quantiles(x, window, probs)):
+        np.testing.assert_allclose(got, s.rolling(window).quantile(p), rtol=1e-12)
+    mean, std = rolling.rolling_moments(x, window)
+    frames = np.lib.stride_tricks.sliding_window_view(x, window) if window <= len(x) else np.empty((0, window))
+    np.testing.assert_allclose(mean[window - 1:], frames.mean(axis=1), rtol=1e-9)
+    if window > 1:
+        np.testing.assert_allclose(std[window - 1:], frames.std(axis=1, ddof=1), rtol=1e-6, atol=1e-6)
+    assert np.isnan(mean[:window - 1]).all() and (window > 1 or np.isnan(std).all())
+
+
+def test_window_over_many_blocks(spark, walk, monkeypatch):
+    df = spark.createDataFrame(walk.assign(note=[["x"]] * len(walk)))
+    for block, short in ((3, 0), (8, 0), (None, 0), (8, 32)):
+        monkeypatch.setattr(TR, "SHORT", short)
+        got = TR.rolling_descriptor(df, "pos_x", 20, block=block).toPandas().sort_values(["entity", "frame"])
+        want = walk.groupby("entity")["pos_x"].rolling(20).quantile(0.9)
+        np.testing.assert_allclose(got["pos_x_p90"], want.values)
+        assert len(got) == len(walk) and got["note"].str.len().eq(1).all()
+        diff = TR.differences(df, ["pos_x"], 20, block=block).toPandas().sort_values(["entity", "frame"])
+        np.testing.assert_allclose(diff["pos_x_diff"], walk.groupby("entity")["pos_x"].diff(20))
+    wide = TR.path_values(df, 30, block=4).toPandas().sort_values(["entity", "frame"])
+    x, y = (walk.groupby("entity")[c].diff(30) for c in ("pos_x", "pos_y"))
+    np.testing.assert_allclose(wide["spl"], np.hypot(x, y).fillna(0))
+    for short in (0, 32):
+        monkeypatch.setattr(TR, "SHORT", short)
+        for hole in (None, float("nan")):
+            holes = df.withColumn("pos_x", F.when(F.col("frame") != 30, F.col("pos_x")).otherwise(F.lit(hole)))
+            got = TR.rolling_descriptor(holes, "pos_x", 5).filter("entity = 'a'").orderBy("frame").toPandas()
+            for c in ("mean", "median", "std", "max"):
+                assert got.index[got[f"pos_x_{c}"].isna()].tolist() == [0, 1, 2, 3, 30, 31, 32, 33, 34]
+        assert TR.rolling_descriptor(df.limit(0), "pos_x", 5).count() == 0
+
+
 def test_forward_fill_crosses_blocks(spark, walk):
     holes = walk.assign(pos_x=walk.pos_x.where((walk.frame < 2) | (walk.frame > 40)))
     df = spark.createDataFrame(holes).withColumn("pos_x", F.nanvl("pos_x", F.lit(None)))
