@@ -29,26 +29,41 @@ def char_ngrams(text: Column, n: int = 3) -> Column:
     return F.regexp_extract_all(padded, F.lit(f"(?=(.{{{n}}}))"), 1)
 
 
-def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = 300, n: int = 3) -> DataFrame:
-    """(lang, gram, weight): the ``size`` most frequent n-grams per language, ranked (Cavnar-Trenkle)."""
-    grams = labelled.select(F.col(lang).alias("profile"), F.explode(char_ngrams(F.col(text), n)).alias("gram"))
-    counts = grams.groupBy("profile", "gram").agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy("profile").orderBy(F.desc("n"), "gram")
-    ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= size)
-    return ranked.select("profile", "gram", (F.lit(size + 1) - F.col("rank")).alias("weight"))
+def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int = 3) -> DataFrame:
+    """(profile, gram, weight): every n-gram of a language with its log2 share, one added to each count.
+
+    A ``gram`` of null holds the weight of n-grams that the language doesn't have.  Rows without a language
+    or text don't count.
+    """
+    grams = labelled.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("profile"), F.explode(char_ngrams(F.col(text), n)).alias("gram"))
+    counts = cut(grams.groupBy("profile", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+    sizes = counts.groupBy("profile").agg(F.sum("n").alias("_size"))
+    room = sizes.join(counts.agg(F.count_distinct("gram").alias("_kinds")))
+    every = counts.unionByName(sizes.select("profile", F.lit(None).cast("string").alias("gram"), F.lit(0).cast("bigint").alias("n")))
+    weight = F.log2((F.col("n") + 1) / (F.col("_size") + F.col("_kinds") + 1))
+    return lookup_join(every, room, "profile", "inner").select("profile", "gram", weight.alias("weight"))
 
 
 def detect_language(texts: DataFrame, profiles: DataFrame, key: str, text: str = "text", n: int = 3) -> DataFrame:
-    """(key, detected): best-scoring profile per text; profiles are a few hundred rows per language."""
+    """(key, detected): of the languages that share an n-gram with a text, the one in which it is most likely.
+
+    N-grams that no language has don't count, and a text without others gets no row.  A score is what the
+    n-grams gain over being unknown, plus their number times the weight of an unknown one: so an n-gram meets
+    only the languages that have it, and these are few per n-gram.
+    """
     grams = texts.select(key, F.explode(char_ngrams(F.col(text), n)).alias("gram"))
     counted = grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
-    scores = (
-        counted.join(F.broadcast(profiles), "gram", "inner")
-        .groupBy(key, "profile")
-        .agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
-    )
+    unknown = profiles.filter(F.col("gram").isNull()).select("profile", F.col("weight").alias("_unknown"))
+    known = lookup_join(profiles.filter(F.col("gram").isNotNull()), unknown, "profile", "inner")
+    any_known = known.select("gram").distinct()
+    by_gram = known.groupBy("gram").agg(F.collect_list(F.struct("profile", (F.col("weight") - F.col("_unknown")).alias("gain"))).alias("_in"))
+    met = lookup_join(counted, by_gram, "gram", "inner").select(key, "n", F.explode("_in").alias("_p"))
+    gains = met.groupBy(key, F.col("_p.profile").alias("profile")).agg(F.sum(F.col("n") * F.col("_p.gain")).alias("_gain"))
+    lengths = lookup_join(counted, any_known, "gram", "left_semi").groupBy(key).agg(F.sum("n").alias("_n"))
+    best = lookup_join(lookup_join(gains, unknown, "profile", "inner"), lengths, key, "inner")
+    score = F.col("_gain") + F.col("_n") * F.col("_unknown")
     # equal scores: the alphabetically first language
-    return scores.groupBy(key).agg(F.min_by("profile", F.struct(-F.col("score"), F.col("profile"))).alias("detected"))
+    return best.groupBy(key).agg(F.min_by("profile", F.struct(-score, F.col("profile"))).alias("detected"))
 
 
 def lang_fallback(posts: DataFrame, profiles: DataFrame, key: str = "id", text: str = "full_text") -> DataFrame:

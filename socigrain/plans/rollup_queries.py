@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import percent
 from ..operators import baseline as B, edges as ED, posts as P, rollups as R, stats as ST, tags as TG, text as TX
 from ..operators.skew import lookup_join, with_group_totals
+from ..session import cut
 from . import adapter as ad
 from .adapter import ACCOUNTS, EV, FLAT, PAIRS, POSTS, with_ctes as sql
 from .registry import query
@@ -215,6 +218,26 @@ def _(spark, sf):
     return rounded(TG.tag_day_rollup(tagged(spark, sf)), "in_repost_delay_sec", "in_quote_delay_sec", digits=4)
 
 
+LEVELS = {"week": "week_name", "month": "month_name", "total": "'all'"}
+
+
+@query("A06_rolled_up_users", sql(FLAT, TAGGED_FLAT, select=" UNION ALL ".join(
+    f"SELECT '{level}' AS level, {period} AS period, tag, count(*) AS tag_cnt, count(DISTINCT user_id) AS user_cnt, true AS within_error FROM tagged GROUP BY ALL"
+    for level, period in LEVELS.items())))
+def _(spark, sf):
+    """Users per tag and period from the sketches of days, held against the exact counts at five standard errors."""
+    t = tagged_flat(spark, sf).select("day_name", "week_name", "month_name", "tag", "user_id")
+    days = cut(TG.user_sketches(t, ["day_name", "week_name", "month_name", "tag"]), "sketches")
+    exact, rolled = [], []
+    for level, period in LEVELS.items():
+        keys = [F.lit(level).alias("level"), F.expr(period).alias("period"), "tag"]
+        rolled.append(TG.estimated_users(TG.roll_up_users(days, keys)).withColumnRenamed("user_cnt", "estimate"))
+        exact.append(t.groupBy(*keys).agg(F.count_distinct("user_id").alias("user_cnt")))
+    joined = reduce(DataFrame.unionByName, rolled).join(reduce(DataFrame.unionByName, exact), ["level", "period", "tag"], "full")
+    off = F.abs(F.col("estimate") - F.col("user_cnt"))
+    return joined.withColumn("within_error", off <= F.col("user_cnt") * (5 * TG.sketch_error())).drop("estimate")
+
+
 POPULARITY = """pop0 AS (SELECT tag, CAST(sum(tag_cnt) AS BIGINT) AS tag_cnt, CAST(sum(favourite_cnt) AS BIGINT) AS favourite_cnt,
   CAST(sum(user_cnt) AS BIGINT) AS user_days FROM tag_day GROUP BY tag),
 pop AS (SELECT *, user_days / tag_cnt AS alpha, tag_cnt / (SELECT sum(tag_cnt) FROM pop0) AS beta, favourite_cnt AS gamma FROM pop0)"""

@@ -32,17 +32,25 @@ def hashed(items):
 GRAMS = r"""padded AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' AS p FROM documents),
 chars AS (SELECT doc_id, lang, unnest(string_split(p, '')) AS c, unnest(range(0, len(string_split(p, '')))) AS i FROM padded),
 grams AS (SELECT doc_id, lang, gram FROM (SELECT doc_id, lang, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL),
-prof AS (SELECT profile, gram, 301 - rk AS weight FROM (SELECT lang AS profile, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS rk FROM grams GROUP BY 1, 2) WHERE rk <= 300)"""
+cnt AS (SELECT lang AS profile, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY 1, 2),
+sizes AS (SELECT profile, sum(n) AS size FROM cnt GROUP BY 1),
+prof AS (SELECT profile, gram, log2((n + 1) / (size + kinds + 1)) AS weight
+  FROM (SELECT * FROM cnt UNION ALL SELECT profile, NULL, 0 FROM sizes) JOIN sizes USING (profile), (SELECT count(DISTINCT gram) AS kinds FROM cnt))"""
 
 
-@query("T01_language_profiles", sql(GRAMS, select="SELECT profile, gram, CAST(weight AS BIGINT) AS weight FROM prof"))
+@query("T01_language_profiles", sql(GRAMS, select="SELECT profile, gram, round(weight, 6) AS weight FROM prof"))
 def _(spark, sf):
-    return TX.language_profiles(ad.documents(spark, sf)).withColumn("weight", F.col("weight").cast("bigint"))
+    return TX.language_profiles(ad.documents(spark, sf)).withColumn("weight", F.round("weight", 6))
 
 
 @query("T01_lang_fallback", sql(GRAMS, select="""
-  SELECT doc_id, detected FROM (SELECT doc_id, profile AS detected, row_number() OVER (PARTITION BY doc_id ORDER BY sum(weight) DESC, profile) AS i
-    FROM grams JOIN prof USING (gram) GROUP BY doc_id, profile) WHERE i = 1"""))
+  , known AS (SELECT k.profile, k.gram, k.weight - u.weight AS gain, u.weight AS unknown
+    FROM prof k JOIN prof u ON u.profile = k.profile AND u.gram IS NULL WHERE k.gram IS NOT NULL),
+  lengths AS (SELECT doc_id, count(*) AS n FROM grams WHERE gram IN (SELECT gram FROM known) GROUP BY 1),
+  scores AS (SELECT doc_id, profile, sum(gain) + any_value(n) * any_value(unknown) AS score
+    FROM grams JOIN known USING (gram) JOIN lengths USING (doc_id) GROUP BY 1, 2),
+  best AS (SELECT doc_id, profile, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, profile) AS i FROM scores)
+  SELECT d.doc_id, coalesce(profile, 'zxx') AS detected FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND i = 1"""))
 def _(spark, sf):
     d = ad.documents(spark, sf)
     profiles = cut(TX.language_profiles(d))

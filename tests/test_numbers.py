@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from socigrain.operators import rolling, rollups as R, skew, stats as ST, trajectory as TR
+from socigrain.operators import rolling, rollups as R, skew, stats as ST, tags as TG, trajectory as TR
 
 
 def test_number_rows_equals_one_window(spark):
@@ -46,6 +46,25 @@ def test_t_test(spark):
     assert known.tolist() == pytest.approx([0.5, 0.0733880, 1.0], abs=1e-6)
 
 
+def test_user_sketches_roll_up(spark):
+    df = spark.range(60_000).select(
+        F.format_string("d%02d", F.col("id") % 28).alias("day_name"), F.when(F.col("id") % 3 == 0, "hot").otherwise("other").alias("tag"),
+        F.when(F.col("id") % 1000 != 7, F.col("id") * 31 % 20_011).alias("user_id"))
+    few = spark.createDataFrame([("d01", "few", 5), ("d01", "few", 5), ("d09", "few", 5), ("d27", "few", None)], df.schema)
+    df = df.unionByName(few)
+    days = TG.user_sketches(df)
+    week = F.expr("substr(day_name, 2, 2) div 7").alias("week")
+    weeks = TG.roll_up_users(days.select(week, "tag", "tag_cnt", "users"), ["week", "tag"])
+    total = TG.roll_up_users(weeks, ["tag"])
+    for got, exact, keys in ((days, df, ["day_name", "tag"]), (weeks, df.withColumn("week", week), ["week", "tag"]), (total, df, ["tag"])):
+        counts = exact.groupBy(*keys).agg(F.count_distinct("user_id").alias("n"), F.count(F.lit(1)).alias("uses"))
+        rows = TG.estimated_users(got).join(counts, keys, "full").collect()
+        assert all(abs(r["user_cnt"] - r["n"]) <= 5 * TG.sketch_error() * r["n"] and r["tag_cnt"] == r["uses"] for r in rows)
+    few = {r["tag"]: r["user_cnt"] for r in TG.estimated_users(total).collect()}
+    assert few["few"] == 1
+    assert TG.roll_up_users(TG.user_sketches(df.limit(0)), ["tag"]).count() == 0
+
+
 def test_histogram_closes_last_bin(spark):
     h = ST.histogram(spark.range(0, 101), "id").orderBy("bin").toPandas()
     assert h["n"].tolist() == [10] * 9 + [11]

@@ -1,3 +1,7 @@
+import math
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from socigrain.functions import text as T
@@ -61,6 +65,35 @@ def test_language_fallback(spark):
     assert got == {1: "en", 2: "zxx", 3: "hr", 4: "de"}
 
 
+def test_language_scores_use_every_ngram(spark):
+    rows = [("en", "the cat and the dog"), ("en", "a rare zyx"), ("de", "der hund und die katze"), ("de", None), (None, "der hund"), ("hr", "")]
+    train = spark.createDataFrame(rows, "lang string, text string")
+    texts = {1: "zyx", 2: "der der cat", 3: "the hund", 4: "qqq", 5: "a rare", 6: "katze zyx und zyx"}
+
+    def grams(text):
+        padded = f" {(text or '').strip()} "
+        return [padded[i:i + 3] for i in range(len(padded) - 2)]
+
+    counts = {lang: Counter(g for at, t in rows if at == lang for g in grams(t)) for lang in ("en", "de")}
+    kinds = len(set(counts["en"]) | set(counts["de"]))
+
+    def weight(lang, g):
+        return math.log2((counts[lang][g] + 1) / (counts[lang].total() + kinds + 1))
+
+    want = {}
+    for key, t in texts.items():
+        met = [g for g in grams(t) if any(c[g] for c in counts.values())]
+        scores = {lang: sum(weight(lang, g) for g in met) for lang, c in counts.items() if any(c[g] for g in met)}
+        if scores:
+            want[key] = min(scores, key=lambda lang: (-scores[lang], lang))
+    profiles = TX.language_profiles(train)
+    for r in profiles.filter("gram IS NOT NULL").collect():
+        assert r["weight"] == pytest.approx(weight(r["profile"], r["gram"]))
+    posts = spark.createDataFrame(list(texts.items()), "id long, text string")
+    got = TX.detect_language(posts, profiles, "id").collect()
+    assert {r["id"]: r["detected"] for r in got} == want and 4 not in want and want[1] == "en"
+
+
 def test_coherence_prefers_words_seen_together(spark):
     rows = [(i, ["sun", "sea", f"x{i}"]) for i in range(6)] + [(i, ["tax", f"y{i}"]) for i in range(6, 9)] + [(i, ["moon", f"z{i}"]) for i in range(9, 12)]
     docs = spark.createDataFrame(rows, "id long, tokens array<string>")
