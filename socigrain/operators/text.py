@@ -263,8 +263,9 @@ def describe_topics(model, words: DataFrame, terms: int = 10) -> DataFrame:
 def topic_coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, window: int = 110) -> DataFrame:
     """(topic, coherence): c_v of each topic's words; ``topics`` holds (topic, word).
 
-    A word's sliding windows in a document form few merged intervals, so windows are counted by
-    interval lengths and overlaps and never listed one by one.
+    A word's sliding windows in a document form merged intervals, so windows are counted by interval
+    lengths and overlaps and never listed one by one.  Intervals are cut at every ``window`` starts; a word
+    has a few per part, and words meet inside a part, so a long document is many small joins.
     """
     eps = 1e-12
     size = F.size(tokens)
@@ -276,19 +277,24 @@ def topic_coherence(docs: DataFrame, key: str, tokens: str, topics: DataFrame, w
         .join(F.broadcast(words), "word", "left_semi")
         .select(key, "word", F.greatest(F.col("pos") - window + 1, F.lit(0)).alias("s"), F.least("pos", "last").alias("e"))
     )
-    w = W.partitionBy(key, "word").orderBy("s", "e")
+    part = F.explode(F.sequence(F.floor(F.col("s") / window), F.floor(F.col("e") / window))).alias("part")
+    pieces = seen.select(key, "word", "s", "e", part).select(
+        key, "word", "part", F.greatest("s", F.col("part") * window).alias("s"), F.least("e", F.col("part") * window + (window - 1)).alias("e")
+    )
+    w = W.partitionBy(key, "word", "part").orderBy("s", "e")
+    # ends rise with starts, so the row before has the largest end so far
     fresh = F.coalesce((F.col("s") > F.lag("e").over(w) + 1).cast("int"), F.lit(1))
     merged = (
-        seen.withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(w))
-        .groupBy(key, "word", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+        pieces.withColumn("_f", fresh).withColumn("_run", F.sum("_f").over(w))
+        .groupBy(key, "word", "part", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
     )
     single = merged.groupBy("word").agg((F.sum(F.col("e") - F.col("s") + 1) / total).alias("p"))
     of_topic = merged.join(F.broadcast(topics.select("topic", "word")), "word", "inner")
-    a = of_topic.select(key, "topic", F.col("word").alias("wa"), F.col("s").alias("sa"), F.col("e").alias("ea"))
-    b = of_topic.select(key, "topic", F.col("word").alias("wb"), F.col("s").alias("sb"), F.col("e").alias("eb"))
+    a = of_topic.select(key, "topic", "part", F.col("word").alias("wa"), F.col("s").alias("sa"), F.col("e").alias("ea"))
+    b = of_topic.select(key, "topic", "part", F.col("word").alias("wb"), F.col("s").alias("sb"), F.col("e").alias("eb"))
     overlap = F.least("ea", "eb") - F.greatest("sa", "sb") + 1
     together = (
-        a.join(b, [key, "topic"], "inner").filter((F.col("sa") <= F.col("eb")) & (F.col("sb") <= F.col("ea")))
+        a.join(b, [key, "topic", "part"], "inner").filter((F.col("sa") <= F.col("eb")) & (F.col("sb") <= F.col("ea")))
         .groupBy("topic", "wa", "wb").agg((F.sum(overlap) / total).alias("pab"))
     )
     pairs = topics.select("topic", F.col("word").alias("wa")).join(topics.select("topic", F.col("word").alias("wb")), "topic")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ..functions import text as T
 from ..operators import rollups as R, text as TX
@@ -170,6 +170,33 @@ def _(spark, sf):
     return TX.topic_coherence(d, "doc_id", "tokens", cut(topics.select("topic", "word")))
 
 
+COHERENCE_WINDOW = 12
+
+
+@query("T10_coherence_of_frequent_words", sql(TOKENS, select=f"""
+  , ranked AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS rk FROM words GROUP BY lang, w),
+  topics AS (SELECT lang AS topic, w FROM ranked WHERE rk <= 6),
+  sizes AS (SELECT doc_id, greatest(len(tokens) - {COHERENCE_WINDOW}, 0) AS last FROM docs WHERE len(tokens) > 0),
+  total AS (SELECT CAST(sum(last + 1) AS DOUBLE) AS t FROM sizes),
+  hits AS (SELECT DISTINCT doc_id, w, unnest(range(greatest(pos - {COHERENCE_WINDOW} + 1, 0), least(pos, last) + 1)) AS s
+    FROM words JOIN sizes USING (doc_id) WHERE w IN (SELECT w FROM topics)),
+  p1 AS (SELECT w, count(*) / any_value(t) AS p FROM hits, total GROUP BY w),
+  p2 AS (SELECT a.w AS wa, b.w AS wb, count(*) / any_value(t) AS p FROM hits a JOIN hits b USING (doc_id, s), total GROUP BY 1, 2),
+  x AS (SELECT topic, x.w AS wa, y.w AS wb, coalesce(p2.p, 0) + 1e-12 AS j, greatest(pa.p * pb.p, 1e-12) AS m
+    FROM topics x JOIN topics y USING (topic) LEFT JOIN p2 ON p2.wa = x.w AND p2.wb = y.w JOIN p1 pa ON pa.w = x.w JOIN p1 pb ON pb.w = y.w),
+  v AS (SELECT topic, wa, wb, ln(j / m) / -ln(j) AS x FROM x),
+  c AS (SELECT topic, wa, sum(x * t) / (sqrt(sum(x * x)) * sqrt(sum(t * t))) AS c
+    FROM v JOIN (SELECT topic, wb, sum(x) AS t FROM v GROUP BY 1, 2) USING (topic, wb) GROUP BY 1, 2)
+  SELECT topic, round(avg(c), 6) AS coherence FROM c GROUP BY topic"""))
+def _(spark, sf):
+    """Coherence of each language's six most frequent words."""
+    d = cut(docs(spark, sf))
+    counts = d.select(F.col("lang").alias("topic"), F.explode("tokens").alias("word")).groupBy("topic", "word").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(W.partitionBy("topic").orderBy(F.desc("n"), "word"))
+    topics = cut(counts.withColumn("place", place).filter("place <= 6").select("topic", "word"))
+    return rounded(TX.topic_coherence(d, "doc_id", "tokens", topics, COHERENCE_WINDOW), "coherence")
+
+
 @query("T11_text_rollup", sql(TOKENS, select="""
   , o AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY doc_id, pos) - 1 AS i FROM words)
   SELECT lang, i // 1000 AS chunk, md5(string_agg(w, ' ' ORDER BY i)) AS h FROM o GROUP BY 1, 2"""))

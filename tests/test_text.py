@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -102,6 +103,35 @@ def test_coherence_prefers_words_seen_together(spark):
     assert abs(got[0] - 1.0) < 1e-6 and got[1] < 0.5
 
 
+@pytest.mark.parametrize("window", [1, 4, 9, 500])
+def test_coherence_equals_listed_windows(spark, window):
+    rng = random.Random(window)
+    docs = {i: [rng.choice("aaabbcdefgh") for _ in range(n)] for i, n in enumerate((0, 1, 3, 4, 30, 400))}
+    topics = [(0, "a"), (0, "b"), (0, "c"), (1, "c"), (1, "d"), (1, "nowhere"), (2, "a")]
+    seen = [set(t[s:s + window]) for t in docs.values() if t for s in range(max(len(t) - window, 0) + 1)]
+
+    def share(*words):
+        return sum(set(words) <= win for win in seen) / len(seen)
+
+    want = {}
+    for topic in (0, 1, 2):
+        words = [w for t, w in topics if t == topic]
+        x = {}
+        for a in words:
+            for b in words:
+                joint, apart = share(a, b) + 1e-12, share(a) * share(b)
+                x[a, b] = math.log(joint / max(apart, 1e-12)) / -math.log(joint) if joint != 1 else 0.0
+        total = {b: sum(x[a, b] for a in words) for b in words}
+        cosines = [sum(x[a, b] * total[b] for b in words) / math.sqrt(sum(x[a, b] ** 2 for b in words) * sum(t * t for t in total.values()))
+                   for a in words if any(x[a, b] for b in words) and any(total.values())]
+        want[topic] = sum(cosines) / len(cosines) if cosines else None
+    df = spark.createDataFrame(list(docs.items()), "id long, tokens array<string>")
+    got = TX.topic_coherence(df, "id", "tokens", spark.createDataFrame(topics, "topic int, word string"), window).collect()
+    for r in got:
+        assert r["coherence"] == (None if want[r["topic"]] is None else pytest.approx(want[r["topic"]], abs=1e-6))
+    assert len(got) == 3
+
+
 def test_topics(spark):
     docs = _docs(spark)
     words = TX.dictionary(docs, "tokens")
