@@ -85,7 +85,7 @@ def rolling_descriptor(traj: DataFrame, value: str, window: int, block: int | No
     are kept.  Over a window of more than ``SHORT`` frames a block is run through once: a sorted window takes
     one value in and lets one go per frame, and sums come from pieces of a window's length.
     """
-    d = with_halo(traj, window - 1, block or block_of(window)).withColumn("_x", F.col(value).cast("double"))
+    d = with_halo(traj, window - 1, block or block_of(window)).withColumn("_x", F.nanvl(F.col(value).cast("double"), F.lit(None)))
     if window <= SHORT:
         return without_halo(_sorted_anew(d, value, window)).drop("_x")
     names = [f"{value}_{n}" for n in DESCRIPTOR]
@@ -108,7 +108,7 @@ def rolling_descriptor(traj: DataFrame, value: str, window: int, block: int | No
 
 def _sorted_anew(d: DataFrame, value: str, window: int) -> DataFrame:
     frame = _w().rowsBetween(-(window - 1), 0)
-    x = F.nanvl("_x", F.lit(None))
+    x = F.col("_x")
     others = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
     measures = {n: others[n] if n in others else F.percentile(x, F.lit(q)) for n, q in DESCRIPTOR.items()}
     full = F.count(x).over(frame) == window
