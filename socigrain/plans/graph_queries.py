@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import edges as ED, trajectory as TR
-from ..operators.graph import community as CM, components as CP, core as C, paths as PA, rank as RK, report as RP, triangles as TRI
+from ..operators.graph import cells, community as CM, components as CP, core as C, paths as PA, rank as RK, report as RP, triangles as TRI
 from . import adapter as ad
 from .adapter import ACCOUNTS, EV, FLAT, PAIRS, TRAJ, with_ctes as sql
 from .registry import query
@@ -234,6 +234,12 @@ def _(spark, sf):
     return TRI.triangle_counts(tag_graphs(spark, sf).checkpointed())
 
 
+@query("G10_triangles_by_cells", users_sql("SELECT k.g AS graph_id, k.v AS id, k AS degree, coalesce(t, 0) AS triangles FROM k LEFT JOIN tc ON tc.g = k.g AND tc.v = k.v", TRIS))
+def _(spark, sf):
+    net = users(spark, sf).checkpointed()
+    return TRI.triangle_counts(net, cells.triangles_by_cells(net))
+
+
 @query("G11_weighted_clustering", users_sql("""
   , wt AS (SELECT x.a, x.b, y.b AS c, cbrt(x.w * y.w * z.w) / (SELECT max(w) FROM ue) AS gm FROM ue x JOIN ue y ON y.a = x.b JOIN ue z ON z.a = x.a AND z.b = y.b),
   ws AS (SELECT v, sum(gm) AS s FROM (SELECT a AS v, gm FROM wt UNION ALL SELECT b, gm FROM wt UNION ALL SELECT c, gm FROM wt) GROUP BY v)
