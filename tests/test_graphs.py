@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from socigrain.operators.graph import community as CM, components as CP, core as C, packed, paths as PA, rank as RK, stars, triangles as TRI
+from socigrain.operators.graph import cells, community as CM, components as CP, core as C, packed, paths as PA, rank as RK, stars, triangles as TRI
 
 K4 = [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]
 GRAPHS = {
@@ -253,3 +253,98 @@ def test_zero_weights_are_refused(spark):
     zero = build(spark, {"z": [(1, 2), (2, 3), (1, 3)]}, weights={(1, 2): 0.0})
     with pytest.raises(ValueError):
         PA.betweenness(zero, weighted=True)
+
+
+@pytest.mark.parametrize("cell_edges", [3, 40, 10**6])
+def test_triangles_equal_listed_ones(spark, cell_edges):
+    rng = random.Random(cell_edges)
+    graphs = {f"g{n}": sorted({tuple(sorted(rng.sample(range(n), 2))) for _ in range(n * 4)}) for n in (12, 40, 70)}
+    # a vertex that everybody knows, and one that all but a few do
+    graphs["hub"] = sorted({(0, i) for i in range(1, 60)} | {(1, i) for i in range(2, 50)} | {(i, i + 1) for i in range(2, 59)})
+    graphs["tree"] = [(0, i) for i in range(1, 30)]
+    told = cells.triangles_by_cells(build(spark, graphs), cell_edges).collect()
+    brute = []
+    for g, es in graphs.items():
+        near = set(es)
+        top = max(max(e) for e in es) + 1
+        brute += [(g, a, b, c) for a, b in es for c in range(b + 1, top) if (a, c) in near and (b, c) in near]
+    assert sorted(tuple(r) for r in told) == sorted(brute)
+
+
+def test_triangles_of_cells_that_come_in_pieces(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = sorted({(g, *sorted(rng.sample(range(15), 2))) for g in range(30) for _ in range(40)})
+    import pyarrow as pa
+
+    def batches():
+        for i in range(0, len(rows), 7):
+            g, a, b = zip(*rows[i:i + 7])
+            yield pa.RecordBatch.from_pydict({
+                "graph_id": pa.array([None if x == 0 else f"{x:02}" for x in g], pa.string()), "src": [f"v{x:02}" for x in a], "dst": [f"v{x:02}" for x in b],
+                "_cell": pa.array([0] * len(g), pa.int64()), "_flag": pa.array([2] * len(g), pa.int8())})
+
+    monkeypatch.setattr(cells, "WEDGES", 50)
+    told = [tuple(r.values()) for batch in cells._triangles_of_cells(batches()) for r in batch.to_pylist()]
+    near = set(rows)
+    brute = [(None if g == 0 else f"{g:02}", f"v{a:02}", f"v{b:02}", f"v{c:02}") for g, a, b in rows for c in range(b + 1, 15)
+             if (g, a, c) in near and (g, b, c) in near]
+    assert sorted(told, key=str) == sorted(brute, key=str)
+
+
+def modularity_of(edges, label):
+    m, inside, strength = len(edges), {}, {}
+    for a, b in edges:
+        for v in (a, b):
+            strength[label[v]] = strength.get(label[v], 0) + 1
+        if label[a] == label[b]:
+            inside[label[a]] = inside.get(label[a], 0) + 1
+    return sum(inside.get(c, 0) / m - (s / (2 * m)) ** 2 for c, s in strength.items())
+
+
+def partitions(vertices):
+    """Every way to split a list into groups, as vertex -> group."""
+    def grow(i, label, used):
+        if i == len(vertices):
+            yield dict(label)
+            return
+        for c in range(used + 1):
+            label[vertices[i]] = c
+            yield from grow(i + 1, label, max(used, c + 1))
+    yield from grow(0, {}, 0)
+
+
+def hangs_together(edges, members):
+    seen, todo = set(), [min(members)]
+    while todo:
+        v = todo.pop()
+        if v not in seen:
+            seen.add(v)
+            todo += [b if a == v else a for a, b in edges if v in (a, b) and {a, b} <= members]
+    return seen == members
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_communities_against_every_partition(spark, seed):
+    rng = random.Random(seed)
+    edges = sorted({tuple(sorted(rng.sample(range(8), 2))) for _ in range(12)})
+    net = build(spark, {"g": edges})
+    label = {i: c for (_, i), c in by_node(CM.communities(net), "community").items()}
+    best = max(modularity_of(edges, p) for p in partitions(sorted(label)))
+    assert modularity_of(edges, label) >= best - 1e-9
+    for c in set(label.values()):
+        members = {v for v in label if label[v] == c}
+        assert hangs_together(edges, members) and min(members) == c
+
+
+def test_communities_of_a_ring_of_cliques(spark):
+    cliques = [(10 * k + i, 10 * k + j) for k in range(8) for i in range(5) for j in range(i + 1, 5)]
+    edges = cliques + [(min(a, b), max(a, b)) for k in range(8) for a, b in [(10 * k, 10 * ((k + 1) % 8) + 1)]]
+    label = {i: c for (_, i), c in by_node(CM.communities(build(spark, {"g": edges})), "community").items()}
+    assert label == {v: v // 10 * 10 for v in label}
+
+
+def test_communities_in_pieces_are_cut(spark, net):
+    all_one = net.vertices.withColumn("community", net.vertices.id * 0)
+    parts = by_node(CM._connected_parts(net, all_one), "community")
+    assert parts["split", 1] == parts["split", 2] == 1 and parts["split", 3] == parts["split", 4] == 3
+    assert {parts["cliques", i] for i in range(1, 9)} == {1}
