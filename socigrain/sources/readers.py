@@ -84,7 +84,7 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
 def load_population(spark: SparkSession, folder: str) -> DataFrame:
     """Folder of per-individual CSVs (frame, pos x, pos y) -> (entity, frame, pos_x, pos_y), rounded.
 
-    The individual is the file's name, or its ``entity=`` folder where files lie in such.
+    The individual is the file's name, or ``entity``: the files' folder or, where individuals share files, a column.
     """
     raw = spark.read.options(header=True).csv(folder)
     name = F.col("entity").cast("string") if "entity" in raw.columns else F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
@@ -102,14 +102,23 @@ def population_from(raw: DataFrame) -> DataFrame:
     )
 
 
-def check_columns(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
-    """(file, ok): does each CSV's header equal the expected columns, in order?  Compares the first line of every file."""
+def file_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, header): the first line of every file below a folder, files named by their whole path."""
     lines = spark.read.text(folder, recursiveFileLookup=True).select(
         F.input_file_name().alias("file"), "value", F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("_i"),
     )
-    headers = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "_i").alias("header"))
+    return lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "_i").alias("header"))
+
+
+def compare_headers(headers: DataFrame, expected: list[str]) -> DataFrame:
+    """(file, ok): does each file's header equal the expected columns, in order?"""
     return headers.select(
         F.regexp_extract("file", r"([^/]+)$", 1).alias("file"),
         (F.col("header") == ",".join(expected)).alias("ok"),
     )
+
+
+def check_columns(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
+    """(file, ok): does each CSV's header equal the expected columns, in order?  Compares the first line of every file."""
+    return compare_headers(file_headers(spark, folder), expected)

@@ -39,6 +39,17 @@ def write_edges_by_tag(edges: DataFrame, path: str, tags: Sequence[str]) -> None
     listed.write.mode("overwrite").partitionBy("tag").option("header", True).csv(f"{path}/by_tag")
 
 
+def write_population(traj: DataFrame, path: str, entity: str = "entity", frame: str = "frame") -> None:
+    """CSV files of trajectories that name the individual in their last column.
+
+    Individuals share files: rows are dealt out by ranges of (entity, frame), so the number of files is that of
+    the ranges and doesn't grow with the individuals.
+    """
+    ranges = int(traj.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = traj.select(*[c for c in traj.columns if c != entity], entity)
+    last.repartitionByRange(ranges, entity, frame).write.option("header", True).csv(path)
+
+
 def archive_snapshot(ids: DataFrame, root: str, reason: str, run_date: str) -> str:
     """Keep a copy of an id table under its reason and date before it is replaced."""
     path = f"{root.rstrip('/')}/history/run_date={run_date}/reason={reason}"
