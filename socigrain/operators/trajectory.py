@@ -155,22 +155,45 @@ def coordinates_union(traj: DataFrame) -> DataFrame:
     return traj.select("pos_x", "pos_y").dropna()
 
 
+#: Frames of an entity that travel as one row.
+PIECE = 32
+
+
+def _pieces(traj: DataFrame, side: str) -> DataFrame:
+    """(entity, piece, has, xs, ys) of one side: positions by place in the piece, ``has`` tells which frames exist.
+
+    A frame given several times has its rows in several pieces, so that each meets each.
+    """
+    again = W.partitionBy("entity", "frame").orderBy("pos_x", "pos_y")
+    placed = traj.filter(F.col("frame").isNotNull()).select(
+        "entity", F.floor(F.col("frame") / PIECE).alias("_piece"), F.pmod("frame", F.lit(PIECE)).cast("int").alias("_slot"),
+        F.row_number().over(again).alias("_again"), F.struct("pos_x", "pos_y").alias("_pos"),
+    )
+    rows = placed.groupBy("entity", "_piece", "_again").agg(
+        F.bit_or(F.expr("shiftleft(1L, _slot)")).alias(f"_has_{side}"),
+        F.map_from_entries(F.collect_list(F.struct("_slot", "_pos"))).alias("_at"),
+    )
+    at = F.transform(F.sequence(F.lit(0), F.lit(PIECE - 1)), lambda i: F.col("_at")[i])
+    return rows.select(
+        F.col("entity").alias(f"entity_{side}"), "_piece", f"_has_{side}",
+        F.transform(at, lambda p: p["pos_x"]).alias(f"_{side}x"), F.transform(at, lambda p: p["pos_y"]).alias(f"_{side}y"),
+    )
+
+
 def pair_distances(traj: DataFrame, pairs: DataFrame) -> DataFrame:
     """(entity_a, entity_b, frame, dist) for the given pairs, on every frame both have.
 
     ``pairs`` holds (entity_a, entity_b), a < b.  The caller chooses them: the result is as
-    long as the pairs' common frames, and each pair's frames are spread by block.
+    long as the pairs' common frames.  A pair carries pieces of ``PIECE`` positions of its first entity
+    to the second, and frames become rows only where both have met.
     """
-    cut = traj.withColumn("_block", F.floor(F.col("frame") / BLOCK))
-    blocks = cut.select(F.col("entity").alias("entity_a"), "_block").distinct()
-    wanted = pairs.select("entity_a", "entity_b").distinct().join(blocks, "entity_a")
-    a = cut.select(F.col("entity").alias("entity_a"), "_block", "frame", F.col("pos_x").alias("ax"), F.col("pos_y").alias("ay"))
-    b = cut.select(F.col("entity").alias("entity_b"), "_block", "frame", F.col("pos_x").alias("bx"), F.col("pos_y").alias("by"))
-    with_a = wanted.join(a, ["entity_a", "_block"], "inner")
-    both = with_a.join(b, ["entity_b", "_block", "frame"], "inner")
-    return both.select(
-        "entity_a", "entity_b", "frame",
-        euclid(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")).alias("dist"),
+    wanted = pairs.select("entity_a", "entity_b").distinct()
+    both = wanted.join(_pieces(traj, "a"), "entity_a", "inner").join(_pieces(traj, "b"), ["entity_b", "_piece"], "inner")
+    common = both.withColumn("_has", F.col("_has_a").bitwiseAND(F.col("_has_b"))).filter("_has <> 0")
+    slots = common.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(PIECE - 1)))).filter("(shiftrightunsigned(_has, _slot) & 1L) = 1L")
+    gap = [F.col(f"_a{c}")[F.col("_slot")] - F.col(f"_b{c}")[F.col("_slot")] for c in "xy"]
+    return slots.select(
+        "entity_a", "entity_b", (F.col("_piece") * PIECE + F.col("_slot")).alias("frame"), euclid(*gap).alias("dist"),
     )
 
 

@@ -1,9 +1,12 @@
 """What must not grow: files, shuffles and rows of steps that the larger tables showed."""
 
 import os
+import random
 
 from pyspark.sql import functions as F
 
+from socigrain.operators import trajectory as TR
+from socigrain.operators.graph import core as C, paths as PA, reach
 from socigrain.sources import readers, writers
 
 
@@ -27,3 +30,47 @@ def test_headers_are_told_apart_by_path(spark, tmp_path):
     assert sorted(r.header for r in headers.collect()) == ["frame,pos_x", "pos_x,frame"]
     assert sorted(r.ok for r in readers.compare_headers(headers, ["frame", "pos_x"]).collect()) == [False, True]
     assert sorted(r.ok for r in readers.check_columns(spark, str(tmp_path), ["frame", "pos_x"]).collect()) == [False, True]
+
+
+def test_pairs_carry_pieces_of_positions(spark):
+    rnd = random.Random(5)
+    rows = [(e, f, None if rnd.random() < 0.1 else float(rnd.randrange(50)), float(rnd.randrange(50))) for e in range(5) for f in range(10 * e, 75 + 3 * e)]
+    rows += [(0, 40, 1.0, 1.0), (0, 40, 1.0, 1.0), (3, 40, 2.0, 2.0), (1, None, 1.0, 1.0), (2, -1, 0.0, 0.0), (3, -1, 3.0, 4.0)]
+    pairs = [(0, 1), (0, 3), (2, 3), (2, 3), (1, 9)]
+    want = sorted(
+        ((a, b, x[1], None if None in (x[2], y[2]) else ((x[2] - y[2]) ** 2 + (x[3] - y[3]) ** 2) ** 0.5)
+         for a, b in set(pairs) for x in rows for y in rows if x[0] == a and y[0] == b and x[1] == y[1] and x[1] is not None), key=repr)
+    traj = spark.createDataFrame(rows, "entity long, frame long, pos_x double, pos_y double").repartition(3)
+    got = TR.pair_distances(traj, spark.createDataFrame(pairs, "entity_a long, entity_b long"))
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "frame" not in join  # rows of single frames are never shuffled
+
+
+def test_hops_over_several_blocks_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(reach, "PIECE", 3)
+    monkeypatch.setattr(reach, "SLAB", 4)
+    rnd = random.Random(2)
+    edges = {g: [(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)] for g, n, m in (("p", 150, 200), ("q", 9, 30), ("r", 70, 20))}
+    rows = [(g, a, b) for g, es in edges.items() for a, b in es]
+    for directed in (True, False):
+        net = C.network(spark.createDataFrame(rows, "g string, src long, dst long"), directed=directed, graph_id="g")
+        arcs = net.arcs().filter("src <> dst")
+        numbered, parts = reach.gains(net, arcs, 1, 2, block=32)
+        got = {}
+        for part in parts:
+            for r in part.collect():
+                got.setdefault((r.graph_id, r.block * 32 + r.place), {})[r.step] = got.get((r.graph_id, r.block * 32 + r.place), {}).get(r.step, 0) + r.n
+        idx = {(r.graph_id, r.id): r.idx for r in numbered.collect()}
+        into = {}
+        for r in arcs.collect():
+            into.setdefault((r.graph_id, r.dst), set()).add((r.graph_id, r.src))
+        for v, i in idx.items():
+            seen, front, step = {(v[0], v[1])}, {v}, 0
+            while front := {u for w in front for u in into.get(w, ())} - seen:
+                step, seen = step + 1, seen | front
+                assert got[v[0], i].pop(step) == len(front)
+            assert not got.get((v[0], i))
+        hops = {(r.graph_id, r.id): r for r in PA.hop_measures(net).collect()}
+        assert set(hops) == set(idx)
