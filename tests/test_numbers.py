@@ -172,6 +172,27 @@ def test_contacts_against_all_pairs(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("name", ["int", "string"])
+def test_crowded_contacts_stay_in_their_cells(spark, name):
+    rng = np.random.RandomState(3)
+    walk = lambda: np.cumsum(rng.randint(-2, 3, 60))
+    rows = [(e, f - 8, float(x), float(y)) for e in range(14) for f, (x, y) in enumerate(zip(walk(), walk())) if rng.rand() < 0.95]
+    rows += [(None, 3, 0.0, 0.0), (2, None, 0.0, 0.0), (3, 70, None, 0.0)]
+    df = spark.createDataFrame(rows, "entity long, frame long, pos_x double, pos_y double")
+    df = df.withColumn("entity", F.concat(F.lit("e"), "entity")) if name == "string" else df
+    plain = TR.contact_runs(TR.near_pairs(df, 5.0), 2)
+    crowded = TR.contacts(df, 4.0, 2, neighbours=0, block=16)
+    assert crowded.exceptAll(plain.select(*crowded.columns)).isEmpty() and crowded.count() == plain.count() > 100
+    want = {tuple(r) for r in TR.contact_edges(plain, 24.0).collect()}
+    assert {tuple(r) for r in TR.edges_of_totals(TR.contact_totals(df, 4.0, 2, neighbours=0, block=16), 24.0).collect()} == want
+    assert {tuple(r) for r in TR.edges_of_totals(TR.contact_totals(df, 4.0, 2, neighbours=1000, block=16), 24.0).collect()} == want
+    # frames of one block: nothing that belongs to a pair is moved
+    first = df.filter("frame BETWEEN 0 AND 15")
+    runs, plain = TR.contacts(first, 4.0, 2, neighbours=0, block=16), TR.contact_runs(TR.near_pairs(first, 5.0), 2)
+    assert runs.exceptAll(plain.select(*runs.columns)).isEmpty() and runs.count() == plain.count() > 0
+    assert "hashpartitioning(entity_a" not in runs._jdf.queryExecution().toString()
+
+
 def test_contact_edge_formulas(spark):
     runs = spark.createDataFrame([(1, 2, 0, 11, 12), (1, 2, 20, 31, 12)], "entity_a long, entity_b long, start long, end long, frames long")
     e = TR.contact_edges(runs, 24.0).first()
