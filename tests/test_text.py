@@ -140,3 +140,17 @@ def test_topics(spark):
     model = TX.fit_topics(TX.bag_vectors(TX.bag_of_words(docs, "id", "tokens", words), "id", size), 3, 2)
     described = TX.describe_topics(model, words, 4).collect()
     assert len(described) == 12 and all(r["word"] for r in described)
+
+
+def test_repeated_text_steps_are_stored_and_small_tables_sent(spark):
+    docs = spark.createDataFrame([(i, ["new", "york", "city", f"w{i}"]) for i in range(30)], "id long, tokens array<string>")
+    phrases = TX.phrases_fit(docs, "tokens", 5, 0.1)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    applied = TX.phrases_apply(docs, phrases, "id", "tokens", "out")
+    assert "hashpartitioning(a#" not in plan(applied) and {tuple(r.out)[:3] for r in applied.collect()} == {("new_york", "city", f"w{i}") for i in range(30)}
+    assert any("/bigrams-" in f for f in TX.word_grams(docs, "id", "tokens", (5, 0.1), (5, 0.1)).inputFiles())
+    assert all("/words-" in f for f in TX.dictionary(docs, "tokens").inputFiles())
+    texts = spark.createDataFrame([(1, "the house of the king"), (2, "das haus des herrn"), (3, "12"), (4, "the the das")], "id long, text string")
+    profiles = TX.language_profiles(spark.createDataFrame([("en", "the house and the king"), ("de", "das haus und der herr")], "lang string, text string"))
+    found = TX.detect_language(texts, profiles, "id")
+    assert "regexp_extract_all" not in plan(found) and {tuple(r) for r in found.collect()} == {(1, "en"), (2, "de"), (4, "en")}
