@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import struct
 
 import brute
@@ -73,6 +74,28 @@ def test_stages_keep_columns_and_take_empty_tables(spark, folder):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), folder[0]).collect() == []
 
 
+def test_documents_are_linked_by_fingerprints_then_by_shingles(spark, folder):
+    """7 and 8 are four bits of a fingerprint apart or more, but 0.8 similar; 1 and 2 within two bits, but less similar."""
+    import corpus_pipeline
+
+    rng = random.Random(1)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    while True:  # two words changed in 80: 10 of 76 shingles
+        a = [word() for _ in range(80)]
+        b = [*a[:-2], word(), word()]
+        if (brute.fingerprint(" ".join(a), 5) ^ brute.fingerprint(" ".join(b), 5)).bit_count() > 3:
+            break
+    while True:  # twelve of 52 words replaced, and fingerprints near by chance
+        base = [word() for _ in range(40)]
+        near = [(t, brute.fingerprint(" ".join(t), 5)) for t in ([*base, *(word() for _ in range(12))] for _ in range(400))]
+        pair = next(((x, y) for i, (x, p) in enumerate(near) for y, q in near[:i] if (p ^ q).bit_count() <= 2), None)
+        if pair:
+            break
+    texts = [(7, a), (8, b), (1, pair[0]), (2, pair[1])]
+    docs = spark.createDataFrame([(d, " ".join(t), "en", "s", 1) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, folder[0]).collect()) == [1, 7]
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
