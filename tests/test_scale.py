@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from socigrain.operators import trajectory as TR
 from socigrain.operators.graph import core as C, paths as PA, reach
+from socigrain.plans import adapter as ad
 from socigrain.sources import readers, writers
 
 
@@ -74,3 +75,25 @@ def test_hops_over_several_blocks_and_chunks(spark, monkeypatch):
             assert not got.get((v[0], i))
         hops = {(r.graph_id, r.id): r for r in PA.hop_measures(net).collect()}
         assert set(hops) == set(idx)
+
+
+def test_posts_without_a_parent_are_not_gathered(spark, tmp_path):
+    rows = [(i, None if i == 7 else i % 5, "view" if i % 10 == 0 else "signup", 1.5, '{"k": %d}' % (i % 50)) for i in range(800)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.timestamp_seconds(F.col("event_id"))).repartition(8).write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(1, "a b"), (2, "c")], "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        posts = ad.raw_posts(spark, str(tmp_path))
+        got = posts.select("id", "retweeted_status.id", F.size("entities.hashtags")).collect()
+        parents = ad.activity(spark, str(tmp_path)).filter("parent_id is null").select("id", "k")
+        placed = posts.filter("in_reply_to_status_id is null and retweeted_status is null").groupBy(F.spark_partition_id().alias("at")).count()
+        largest = max(r["count"] for r in placed.collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == [(i, i * (i % 50 + 1) // 101 if i % 10 == 0 and i else None, {1: 2, 2: 1}.get(i % 50, 0)) for i in range(800)]
+    assert parents.count() == 721
+    assert largest < 400  # joined by the null key, all 721 would be in one partition
