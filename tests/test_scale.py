@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from socigrain.operators import trajectory as TR
+from socigrain.operators import stats as ST, trajectory as TR
 from socigrain.operators.graph import core as C, paths as PA, reach
 from socigrain.plans import adapter as ad
 from socigrain.sources import readers, writers
@@ -97,3 +97,17 @@ def test_posts_without_a_parent_are_not_gathered(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(i, i * (i % 50 + 1) // 101 if i % 10 == 0 and i else None, {1: 2, 2: 1}.get(i % 50, 0)) for i in range(800)]
     assert parents.count() == 721
     assert largest < 400  # joined by the null key, all 721 would be in one partition
+
+
+def test_quantiles_do_not_gather_a_group(spark):
+    df = spark.range(200_000).select(F.lit("g").alias("k"), (F.pmod(F.col("id") * 7919, F.lit(200_000)) * 0.5).alias("v"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6000")
+        got = ST.exact_quantiles(df, ["k"], "v", [0.25, 0.5])
+        assert sorted(map(tuple, got.collect())) == [("g", 0.25, 24999.875), ("g", 0.5, 49999.75)]
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # joined by k, all values of the group would be sorted in one task: both sides are stored and the small one is sent
+    assert "SortMergeJoin" not in plan and plan.count("FileScan parquet") >= 2
