@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from socigrain.operators import stats as ST, trajectory as TR
+from socigrain.operators import stats as ST, text as TX, trajectory as TR
 from socigrain.operators.graph import core as C, paths as PA, reach
 from socigrain.plans import adapter as ad
 from socigrain.sources import readers, writers
@@ -111,3 +111,23 @@ def test_quantiles_do_not_gather_a_group(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     # joined by k, all values of the group would be sorted in one task: both sides are stored and the small one is sent
     assert "SortMergeJoin" not in plan and plan.count("FileScan parquet") >= 2
+
+
+def test_pairs_of_neighbours_need_no_lambda(spark):
+    texts = [["a", "b", "a", "b"], ["a", "b", "c"], ["c"], [], None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, tokens array<string>")
+    found = []
+
+    def counted(pairs, label, stored=TX.cut):
+        if label == "pairs":
+            found.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return stored(pairs, label)
+
+    kept, TX.cut = TX.cut, counted
+    try:
+        got = TX.phrases_fit(docs, "tokens", 1, 0.0).select("a", "b", "link", "n", "score").collect()
+    finally:
+        TX.cut = kept
+    # 3 words and 3 pairs; a, b: 3 times each
+    assert [(r.a, r.b, r.link, r.n, round(r.score, 9)) for r in got] == [("a", "b", "", 3, round(2 * 6 / 9, 9))]
+    assert found and "lambda" not in found[0]
