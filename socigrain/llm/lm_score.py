@@ -202,6 +202,10 @@ def word_slices(docs: DataFrame, shards: int, doc_id: str, text: str) -> DataFra
     return rows.mapInArrow(work, schema)
 
 
+#: The columns both readers of a slice's words take, so that Spark shuffles them once and uses the files twice.
+ASKED = ("_slice", "_words", "_counts")
+
+
 def vocabulary(slices: DataFrame) -> DataFrame:
     """(_w, _c): training count of every word that occurs in training texts."""
 
@@ -215,7 +219,7 @@ def vocabulary(slices: DataFrame) -> DataFrame:
                     some = used[low : low + (1 << 16)]
                     yield pa.RecordBatch.from_arrays([pa.array(words[some]), pa.array(counts[some].astype(np.int64))], ["_w", "_c"])
 
-    return slices.select("_words", "_counts").mapInArrow(work, "_w long, _c long").groupBy("_w").agg(F.sum("_c").alias("_c"))
+    return slices.select(*ASKED).mapInArrow(work, "_w long, _c long").groupBy("_w").agg(F.sum("_c").alias("_c"))
 
 
 def answers(slices: DataFrame, words: DataFrame, shards: int) -> DataFrame:
@@ -261,7 +265,7 @@ def answers(slices: DataFrame, words: DataFrame, shards: int) -> DataFrame:
                 types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["_slice", "_shard", "_ids", "_found", "_n"])
 
-    asked = slices.select("_slice", "_words").mapInArrow(ask, "_shard int, _slice long, _asked binary")
+    asked = slices.select(*ASKED).mapInArrow(ask, "_shard int, _slice long, _asked binary")
     # the same residue of the unsigned hash: 2^64 is brought in by halves
     residue = F.expr(f"cast(pmod(pmod(_w, {shards}) + if(_w < 0, {(1 << 64) % shards}, 0), {shards}) AS int)")
     known = words.select(residue.alias("_shard"), F.lit(None).cast("long").alias("_slice"), F.lit(None).cast("binary").alias("_asked"), "_w", "_c")
@@ -403,7 +407,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         for batch in batches:
             base = batch.filter(batch.column("_base"))
             if base.num_rows:
-                yield base.select(kept).append_column(pa.field("_values", pa.list_(pa.float64())), pa.nulls(base.num_rows, pa.list_(pa.float64())))
+                yield base.select(kept).append_column(pa.field("_values", pa.binary()), pa.nulls(base.num_rows, pa.binary()))
             for row in batch.filter(pa.compute.invert(batch.column("_base"))).select(["_slice", "_shard", "_z", "_packed", "_lengths"]).to_pylist():
                 if row["_shard"] != shard and held:
                     yield sums_of(held)
@@ -414,20 +418,22 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             yield sums_of(held)
 
     kept = ["_slice", "_shard", "_base", "_docs", "_held", "_sizes", "_known", "_basis", "_direct", "_train", "_packed", "_lengths"]
-    asked = T.StructType([*[rows.schema[n] for n in kept], T.StructField("_values", T.ArrayType(T.DoubleType()))])
+    asked = T.StructType([*[rows.schema[n] for n in kept], T.StructField("_values", T.BinaryType())])
 
     def sums_of(held):
         found = list(shard_values(held))
         none = [None] * len(found)
         return pa.RecordBatch.from_arrays(
             [pa.array([s for s, _ in found]), pa.array([held[0]["_shard"]] * len(found), pa.int32()), pa.array([False] * len(found)),
-             *[pa.array(none, t) for t in nulls], pa.array([p.tolist() for _, p in found], pa.list_(pa.float64()))],
+             *[pa.array(none, t) for t in nulls], pa.array([[len(p)] for _, p in found], longs),
+             # steps of 1/2048 leave most byte planes of a double empty
+             pa.array([squeeze(np.asarray(p, np.float64)) for _, p in found], pa.binary())],
             [*kept, "_values"],
         )
 
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[out_kind]
     longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
-    nulls = [pa.list_(simple), pa.list_(pa.bool_()), longs, longs, doubles, doubles, pa.int64(), pa.list_(pa.binary()), longs]
+    nulls = [pa.list_(simple), pa.list_(pa.bool_()), longs, longs, doubles, doubles, pa.int64(), pa.list_(pa.binary())]
     placed = rows.repartition(min(contexts, 4 * shards), "_shard").sortWithinPartitions("_shard", "_slice")
     partial = placed.mapInArrow(ask_trie, asked)
     gathered = partial.repartition(shards, "_slice").sortWithinPartitions("_slice", F.desc("_base"), "_shard")
@@ -441,7 +447,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                         yield result(now, values)
                     now, values = row, []
                 else:
-                    values.append(np.array(row["_values"]))
+                    values.append(spread(row["_values"], row["_lengths"][0], np.float64))
         if now:
             yield result(now, values)
 

@@ -323,3 +323,12 @@ def test_lm_empty(spark, docs):
     assert lm_score.score(docs.limit(0)).collect() == []
     only = docs.filter("doc_id is null")
     assert all(r.held_out and r.train_tokens == 0 for r in lm_score.score(only).collect())
+
+
+def test_lm_words_of_slices_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(i, f"a b w{i % 7} c") for i in range(40)], "doc_id long, text string")
+    scored = lm_score.score(docs)
+    assert scored.count() == 40
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert any("ReusedExchange [_slice" in line and "_words" in line for line in plan.splitlines())
