@@ -3,10 +3,11 @@
 import os
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from socigrain.operators import stats as ST, text as TX, trajectory as TR
-from socigrain.operators.graph import core as C, paths as PA, reach
+from socigrain.operators.graph import core as C, counted, paths as PA, reach
 from socigrain.plans import adapter as ad
 from socigrain.sources import readers, writers
 
@@ -131,3 +132,56 @@ def test_pairs_of_neighbours_need_no_lambda(spark):
     # 3 words and 3 pairs; a, b: 3 times each
     assert [(r.a, r.b, r.link, r.n, round(r.score, 9)) for r in got] == [("a", "b", "", 3, round(2 * 6 / 9, 9))]
     assert found and "lambda" not in found[0]
+
+
+def test_path_counts_of_blocks_against_every_path(spark):
+    rng = random.Random(5)
+    edges = [("g", a, b) for a, b in {tuple(rng.sample(range(24), 2)) for _ in range(60)}] + [("h", 0, i) for i in range(1, 20)] + [("h", 30, 30)]
+    table = spark.createDataFrame(edges, "graph_id string, src long, dst long")
+    for directed in (True, False):
+        net = C.network(table, directed=directed, graph_id="graph_id").checkpointed()
+        arcs = net.arcs().filter("src <> dst")
+        into, pairs, own, sums = {}, 0, {}, {}
+        for r in arcs.collect():
+            into.setdefault((r.graph_id, r.src), set()).add((r.graph_id, r.dst))
+        vertices = [(r.graph_id, r.id) for r in net.vertices.collect()]
+        for v in vertices:
+            counts, levels = {v: 1}, [{v}]
+            while levels[-1]:
+                onward = {w for u in levels[-1] for w in into.get(u, ())} - set(counts)
+                counts |= {w: sum(counts[u] for u in levels[-1] if w in into.get(u, ())) for w in onward}
+                levels.append(onward)
+            rest = dict.fromkeys(counts, 0.0)
+            for above, level in reversed(list(zip(levels, levels[1:]))):
+                for u in above:
+                    rest[u] = sum(counts[u] / counts[w] * (1 + rest[w]) for w in into.get(u, ()) if w in level)
+            for u in set(counts) - {v}:
+                own[u] = own.get(u, 0) + rest[u]
+            pairs += len(counts)
+            n = sum(counts[u] * (d + 1) for d, level in enumerate(levels) for u in level)
+            sums[v] = -(-n // sum(counts.values()))
+        # blocks of 16 vertices, 8 sources side by side, two chunks in a pass
+        blocks = counted.Blocks(net, arcs, back=True, width=8, block=16, pairs=8 * 2 * len(vertices))
+        got, held, passes = {}, 0, 0
+        names = {(r.graph_id, r.idx): (r.graph_id, r.id) for r in blocks.numbered.collect()}
+        for sources in blocks.passes():
+            steps = PA._stored_levels(blocks, sources)
+            held += sum(len(r.x) // 8 for r in steps.all().select("x").collect())
+            for r in blocks.by_vertex(blocks.dependencies(steps).all()).collect():
+                at = names[r.graph_id, r.idx]
+                got[at] = got.get(at, 0) + r.own
+            passes += 1
+        assert passes == 2 and held == pairs  # a pair is held in the one level that reaches it
+        assert {v: round(b, 9) for v, b in got.items() if b > 1e-12} == {v: round(b, 9) for v, b in own.items() if b > 1e-12}
+        assert {(r.graph_id, r.id): r.path_nodes for r in PA.mean_path_nodes(net).collect()} == sums
+
+
+def test_arcs_of_a_hub_are_added_in_runs():
+    rng = np.random.default_rng(1)
+    s, d = rng.integers(0, 50, 5000), np.sort(rng.choice([0, 0, 0, 3, 7, 9], 5000))
+    at = np.arange(0, 50, 2)
+    front, out, want = rng.random((25, 700)), np.zeros((10, 700)), np.zeros((10, 700))
+    counted.add_along(out, front, at, s, d)
+    on = s % 2 == 0
+    np.add.at(want, d[on], front[s[on] // 2])
+    assert np.allclose(out, want)
