@@ -76,15 +76,18 @@ def _cells(counts: list[Column]) -> Column:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links between the distinct fingerprints ``_fp`` whose closure is that of all pairs within 2 bits."""
+    """(a, b): links between the distinct fingerprints ``_fp`` whose closure is that of all pairs within 2 bits.
+
+    Spark sizes rows after an explode, and repetitive stored ones, far too low: none of these tables is broadcast.
+    """
     counted = distinct.select("_fp", *[c.alias(f"_s{i}") for i, c in enumerate(segment_counts(F.col("_fp")))])
     visits = counted.select("_fp", F.explode(_cells([F.col(f"_s{i}") for i in range(64 // SEGMENT_BITS)])).alias("_cell"))
     shared = visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    met = cut(visits.join(shared, "_cell"), "cells")
+    met = cut(visits.hint("merge").join(shared.hint("merge"), "_cell"), "cells")
     light = met.filter(F.col("_n") <= CELL_LIMIT).select("_cell", "_fp")
     pairs = (
-        light.select("_cell", F.col("_fp").alias("a"))
-        .join(light.select("_cell", F.col("_fp").alias("b")), "_cell")
+        light.select("_cell", F.col("_fp").alias("a")).hint("merge")
+        .join(light.select("_cell", F.col("_fp").alias("b")).hint("merge"), "_cell")
         .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2))
         .select("a", "b")
     )
@@ -92,7 +95,7 @@ def links(distinct: DataFrame) -> DataFrame:
     flips = F.array(F.lit(0).cast("long"), *[F.lit(np.uint64(1 << b).astype(np.int64).item()) for b in range(64)])
     variants = crowded.select("_fp", F.explode(flips).alias("_flip")).select("_fp", F.col("_fp").bitwiseXOR(F.col("_flip")).alias("_variant"))
     least = variants.groupBy("_variant").agg(F.min("_fp").alias("b"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    stars = variants.join(least, "_variant").filter("_fp <> b").select(F.col("_fp").alias("a"), "b")
+    stars = variants.hint("merge").join(least.hint("merge"), "_variant").filter("_fp <> b").select(F.col("_fp").alias("a"), "b")
     return pairs.unionByName(stars).distinct()
 
 
@@ -106,10 +109,11 @@ def groups(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", text: str =
     prints = cut(fingerprints(docs, words, doc_id, text), "fingerprints")
     distinct = prints.groupBy("_fp").agg(F.min("_doc").alias("_first"))
     roots = star_components(links(distinct.select("_fp")))
-    placed = distinct.join(roots.withColumnRenamed("id", "_fp"), "_fp", "left").withColumn("_root", F.coalesce("component", "_fp"))
+    placed = distinct.join(roots.withColumnRenamed("id", "_fp").hint("merge"), "_fp", "left").withColumn("_root", F.coalesce("component", "_fp"))
     least = placed.groupBy("_root").agg(F.min("_first").alias("_component"))
-    named = placed.select("_fp", "_root").join(least, "_root")
-    return prints.join(named, "_fp").select("_doc", "_print", "_fp", "_root", "_component")
+    # a row of these per different fingerprint: they grow with the documents, not for the driver
+    named = placed.select("_fp", "_root").join(least.hint("merge"), "_root")
+    return prints.join(named.hint("merge"), "_fp").select("_doc", "_print", "_fp", "_root", "_component")
 
 
 def keep_first(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from socigrain.llm import line_dedup, simhash, substring_dedup, suffix_dedup, superkmer
+from socigrain.session import cut
 
 
 @pytest.fixture(scope="module")
@@ -136,6 +137,20 @@ def test_simhash_links_single_bits(spark, monkeypatch):
         assert brute.roots(len(values), [(place[r.a], place[r.b]) for r in links]) == want
 
 
+def test_simhash_tables_are_not_broadcast(docs, monkeypatch):
+    """Cells come from an explode, which Spark takes for small: the driver must not gather them."""
+    plans = []
+
+    def kept(df, *label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, *label)
+
+    monkeypatch.setattr(simhash, "cut", kept)
+    simhash.groups(docs, words=3)
+    cells = [p for p in plans if "Generate" in p and "Join" in p]
+    assert cells and not any("BroadcastHashJoin" in p for p in cells)
+
+
 def test_simhash_keeps_one_row_per_group(docs, rows):
     kept = simhash.keep_first(docs, words=3)
     assert kept.columns == docs.columns
