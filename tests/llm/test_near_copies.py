@@ -1,5 +1,6 @@
 """Near copies at a shingle similarity of 0.8 or more against all pairs in plain Python."""
 
+import pathlib
 import random
 
 import brute
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 
 from socigrain.llm import near_copies
+from socigrain.session import shared_dir
 
 
 def shingles(text):
@@ -69,6 +71,18 @@ def test_stage_removes_copies_with_scattered_changes(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()) == want
 
 
+def test_ranges_add_up_and_only_links_are_left(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "MANY", 0)
+    rows = planted()[:14]
+    want, _ = expected(rows)
+    folder = pathlib.Path(shared_dir(spark)) / "socigrain"
+    before = set(folder.glob("*"))
+    got = near_copies.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    left = {p.name.partition("-")[0] for p in folder.glob("*") if p not in before and any(p.rglob("*.parquet"))}
+    assert "links" in left and not left & {"sets", "sketches", "lists", "entries", "met", "verified", "near"}
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_odd_sketches_never_differ_more_than_the_sets():
     rnd = np.random.default_rng(4)
     for n in (0, 1, 30, 500, 9000):
