@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from socigrain.operators import stats as ST, text as TX, trajectory as TR
 from socigrain.operators.graph import core as C, counted, paths as PA, reach
 from socigrain.plans import adapter as ad
+from socigrain.session import cut
 from socigrain.sources import readers, writers
 
 
@@ -50,6 +51,30 @@ def test_pairs_carry_pieces_of_positions(spark):
     assert "frame" not in join  # rows of single frames are never shuffled
 
 
+def test_hops_keep_the_bits_of_two_rounds(spark, monkeypatch):
+    """Long chains take many rounds; of those before the last only counts are stored."""
+    found = []
+
+    def kept(df, label="step", *rest):
+        out = cut(df, label, *rest)
+        if label == "bits":
+            found.append({f.rpartition("/")[0] for f in out.inputFiles()})
+            assert sum(os.path.isdir(x.removeprefix("file://")) for folders in found for x in folders) <= 2
+        return out
+
+    monkeypatch.setattr(reach, "cut", kept)
+    net = C.network(spark.createDataFrame([("g", i, i + 1) for i in range(12)], "g string, src long, dst long"), directed=True, graph_id="g")
+    got = {r.id: (r.reach, r.sum_dist, r.ecc) for r in PA.hop_measures(net).collect()}
+    assert got == {i: (i, i * (i + 1) // 2, i) for i in range(13)}
+    assert len(found) > 12
+
+
+def test_passes_are_bounded():
+    """Levels and dependencies of a pass are doubles on disk; a task holds a chunk's bits several times."""
+    assert 16 * counted.PAIRS <= 1 << 30
+    assert 8 * reach.CHUNK_WORDS <= 1 << 25
+
+
 def test_hops_over_several_blocks_and_chunks(spark, monkeypatch):
     monkeypatch.setattr(reach, "PIECE", 3)
     monkeypatch.setattr(reach, "SLAB", 4)
